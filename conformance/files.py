@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 def write_monthly_csv(df: DataFrame, folder: str) -> None:
     """One sub-folder of CSV files per period; the period is in the path, not in the files."""
-    spread = df.repartition("etl_period")
+    spread = df.repartitionByRange("etl_period", "nro_sicop")
     writer = spread.write.partitionBy("etl_period").option("header", True)
     writer.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder)
 
@@ -50,7 +50,8 @@ def write_monthly_zips(df: DataFrame, folder: str, member: str, columns: list[st
             part.close()
         yield pa.RecordBatch.from_arrays([pa.array([task.partitionId()], pa.int32())], names=["task"])
 
-    ordered = df.select(*columns, "etl_period").repartition("etl_period").sortWithinPartitions("etl_period")
+    spread = df.select(*columns, "etl_period").repartitionByRange("etl_period", "nro_sicop")
+    ordered = spread.sortWithinPartitions("etl_period")
     ordered.mapInArrow(zip_rows, "task int").agg(F.count("*")).collect()
 
 

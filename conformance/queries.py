@@ -14,11 +14,23 @@ from tenderloom.functions import casts, text
 from tenderloom.operators import quality
 from tenderloom.operators.latest import latest_by, upsert_latest
 from tenderloom.plans import catalog, dimensions, facts, refresh, reports
-from tenderloom.schemas import AWARD_LINES, BID_LINES, MONEY, RATE, STAGING, TENDER_LINES, Column, Table
+from tenderloom.schemas import (
+    AWARD_LINES,
+    BID_LINES,
+    BUYERS,
+    CATALOG,
+    MONEY,
+    RATE,
+    STAGING,
+    SUPPLIERS,
+    TENDER_LINES,
+    Column,
+    Table,
+)
 from tenderloom.session import work_folder
 from tenderloom.sources.archives import scan_archives
 from tenderloom.sources.csv_files import scan_csv, stamp
-from tenderloom.sources.tables import last_n_periods
+from tenderloom.sources.tables import last_n_periods, read_table, write_staging, write_table
 from tenderloom.streaming.staging_stream import append_staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,9 +56,11 @@ def top_buyers_by_month(spark, sf_dir):
 
 
 def model_supplier_buyer_ranking(spark, sf_dir):
-    """The ranking over facts and dimensions built from staging."""
+    """The ranking over facts and dimensions built from staging and written."""
     return reports.supplier_buyer_ranking(
-        build_award_lines(spark, sf_dir), build_buyer_dim(spark, sf_dir), build_supplier_dim(spark, sf_dir)
+        _written(spark, build_award_lines(spark, sf_dir), AWARD_LINES),
+        _written(spark, build_buyer_dim(spark, sf_dir), BUYERS),
+        _written(spark, build_supplier_dim(spark, sf_dir), SUPPLIERS),
     )
 
 
@@ -256,12 +270,20 @@ def build_award_lines(spark, sf_dir):
 # --- quality --------------------------------------------------------------------------------------
 
 
+def _written(spark, df, table: Table) -> DataFrame:
+    """Checks and reports read a table more than once, so it is written first, as a refresh does."""
+    folder = work_folder(spark, table.name)
+    write_table(df, folder)
+    return read_table(spark, folder, table)
+
+
 def pk_violations(spark, sf_dir):
-    return quality.pk_violations(build_tender_lines(spark, sf_dir), TENDER_LINES)
+    lines = _written(spark, build_tender_lines(spark, sf_dir), TENDER_LINES)
+    return quality.pk_violations(lines, TENDER_LINES)
 
 
 def unique_violations(spark, sf_dir):
-    return quality.unique_violations(build_bid_lines(spark, sf_dir), BID_LINES)
+    return quality.unique_violations(_written(spark, build_bid_lines(spark, sf_dir), BID_LINES), BID_LINES)
 
 
 def _also_required(table: Table, column: str) -> Table:
@@ -298,15 +320,17 @@ def check_nonnegative(spark, sf_dir):
 
 def fk_orphans(spark, sf_dir):
     """Tender lines whose product code is not in the catalog: codes of 15 digits."""
-    lines = build_tender_lines(spark, sf_dir).select("nro_sicop", "nro_linea", "cod_producto")
-    return quality.orphan_rows(lines, ["cod_producto"], build_product_catalog(spark, sf_dir), ["cod_producto"])
+    lines = _written(spark, build_tender_lines(spark, sf_dir), TENDER_LINES)
+    products = _written(spark, build_product_catalog(spark, sf_dir), CATALOG)
+    lines = lines.select("nro_sicop", "nro_linea", "cod_producto")
+    return quality.orphan_rows(lines, ["cod_producto"], products, ["cod_producto"])
 
 
 def fk_orphans_composite(spark, sf_dir):
     """Award lines without their bid line."""
     key = ["nro_sicop", "nro_oferta", "nro_linea"]
-    lines = build_award_lines(spark, sf_dir).select(*key, "cod_producto")
-    return quality.orphan_rows(lines, key, build_bid_lines(spark, sf_dir), key)
+    lines = _written(spark, build_award_lines(spark, sf_dir), AWARD_LINES).select(*key, "cod_producto")
+    return quality.orphan_rows(lines, key, _written(spark, build_bid_lines(spark, sf_dir), BID_LINES), key)
 
 
 def full_refresh_summary(spark, sf_dir):
@@ -323,8 +347,7 @@ def _payload(name: str) -> list[str]:
 def last_periods(spark, sf_dir):
     """Staging written partitioned by period, then the last seven periods up to December 1998."""
     folder = work_folder(spark, "staging")
-    lines = fx.stg_lineas_carteles(spark, sf_dir)
-    lines.repartition("etl_period").write.partitionBy("etl_period").parquet(folder)
+    write_staging(fx.stg_lineas_carteles(spark, sf_dir), folder, "nro_sicop")
     staged = spark.read.schema(STAGING["stg_lineas_carteles"].struct()).parquet(folder)
     return last_n_periods(staged, dt.date(1998, 12, 31)).select(*_payload("stg_lineas_carteles"), "etl_period")
 

@@ -31,7 +31,8 @@ class Parsed:
 
     def strict(self) -> Column:
         message = F.concat(F.lit(f"{self.name}: cannot read '"), self.text, F.lit("'"))
-        return F.when(self.unreadable(), F.raise_error(message)).otherwise(self.value).alias(self.name)
+        stop = F.when(self.text.isNotNull(), F.raise_error(message))
+        return F.coalesce(self.value, stop).alias(self.name)
 
 
 def number(name: str, text: Column, type_: str) -> Parsed:

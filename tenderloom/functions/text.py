@@ -45,4 +45,9 @@ def hierarchy(code: Column) -> list[Column]:
 
 
 def commodity(code: Column) -> Column:
-    return F.substring(code, 1, HIERARCHY["mercancias"])
+    """First 8 digits of a valid code.
+
+    A valid code is never NULL; saying so keeps Spark from pushing a null filter into one of several
+    branches that would otherwise share a shuffle.
+    """
+    return F.coalesce(F.substring(code, 1, HIERARCHY["mercancias"]), F.lit(""))

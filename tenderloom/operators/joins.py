@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot from this share of the rows on.  At most 1/HOT_SHARE keys can be, which bounds the
-# list that is broadcast, and the copies made of their right rows stay below 2/HOT_SHARE per match.
-HOT_SHARE = 1 / 5000
+# list that is broadcast (a few MB), and their slots add up to at most 2/HOT_SHARE, which bounds the
+# copies of right rows.  A slot holds about HOT_SHARE of the rows: 10 million of 10^12.
+HOT_SHARE = 1 / 100_000
 # Below this many rows a key is never worth spreading.
 HOT_ROWS = 1_000_000
-# Rows with a NULL key match nothing and are spread over this many slots.
-NULL_SLOTS = 5000
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -26,9 +25,10 @@ def fits_broadcast(df: DataFrame) -> bool:
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys that hold at least HOT_SHARE of the rows, with the number of slots to spread them over.
 
-    Counting combines on the map side first, so a hot key is one row per task in its shuffle.
+    Counting combines on the map side first, so a hot key is one row per task in its shuffle.  A
+    NULL key is a key like any other here.
     """
-    counts = df.where(all_present(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
     slot_rows = F.greatest(total * F.lit(HOT_SHARE), F.lit(float(hot_rows)))
     return counts.where(F.col("_n") >= slot_rows).select(
@@ -48,8 +48,8 @@ def spread_join(
 
     A right side that Spark estimates as small enough is left to a broadcast join, which has no
     shuffle to skew.  Otherwise the left rows of a hot key are split over several slots by a hash of
-    the row, and the right rows of that key are repeated once per slot; rows with a NULL key are
-    spread freely.  Every left row sits in exactly one slot, so the result is the plain join's.
+    the row, and the right rows of that key are repeated once per slot.  Every left row sits in
+    exactly one slot, so the result is the plain join's.
 
     ``stats`` names a cheaper frame with the same keys on which to look for hot ones.  It only
     decides how rows are spread, never which rows come out.
@@ -60,18 +60,21 @@ def spread_join(
     if fits_broadcast(right):
         return left.join(right, on, how)
 
-    hot = F.broadcast(hot_keys(left if stats is None else stats, on, hot_rows))
+    names = [f"_hot_{i}" for i in range(len(on))]
+    found = hot_keys(left if stats is None else stats, on, hot_rows)
+    hot = F.broadcast(found.toDF(*names, "_slots"))
+    # NULL-safe, so that rows with a NULL key are spread too, and so that Spark derives no extra
+    # filter for the count: it then shares the shuffle that already produced ``left``.
+    same_key = F.lit(True)
+    for key, name in zip(on, names):
+        same_key = same_key & F.col(key).eqNullSafe(F.col(name))
+
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
-    slot = (
-        F.when(~all_present(on), F.pmod(row_hash, F.lit(NULL_SLOTS)))
-        .when(F.col("_slots") > 1, F.pmod(row_hash, F.col("_slots")))
-        .otherwise(F.lit(0))
-        .cast("int")
-    )
-    spread = left.join(hot, on, "left").withColumn("_slot", slot).drop("_slots")
+    slot = F.when(F.col("_slots") > 1, F.pmod(row_hash, F.col("_slots"))).otherwise(F.lit(0)).cast("int")
+    spread = left.join(hot, same_key, "left").withColumn("_slot", slot).drop(*names, "_slots")
     slots = F.sequence(F.lit(0), F.coalesce(F.col("_slots"), F.lit(1)) - 1)
-    repeated = right.join(hot, on, "left").withColumn("_slot", F.explode(slots)).drop("_slots")
-    return spread.join(repeated, [*on, "_slot"], how).drop("_slot")
+    repeated = right.join(hot, same_key, "left").withColumn("_slot", F.explode(slots))
+    return spread.join(repeated.drop(*names, "_slots"), [*on, "_slot"], how).drop("_slot")
 
 
 def all_present(columns: Sequence[str]) -> Column:

@@ -100,7 +100,7 @@ def scan_archives(
         for batch in batches:
             for uri in batch.column("path").to_pylist():
                 for rows in _member_batches(uri, member, columns):
-                    archive = pa.array([uri] * rows.num_rows, pa.string())
+                    archive = pa.repeat(pa.scalar(uri, pa.string()), rows.num_rows)
                     yield pa.RecordBatch.from_arrays([*rows.columns, archive], names=out_columns)
 
     rows = listing.mapInArrow(unzip, text_schema(out_columns))

@@ -26,6 +26,7 @@ def csv_options(multiline: bool = False, sep: str = ",", encoding: str = "UTF-8"
         "header": "true",
         "enforceSchema": "false",
         "mode": "FAILFAST",
+        "columnPruning": "false",  # a pruned parser would not notice rows that are too short
         "quote": '"',
         "escape": '"',
         "emptyValue": QUOTED_EMPTY,

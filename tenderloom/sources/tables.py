@@ -22,6 +22,16 @@ def read_staging(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
+def write_staging(df: DataFrame, path: str, spread_by: str) -> None:
+    """Append rows to a staging folder partitioned by ``etl_period``.
+
+    Rows are range-partitioned by period and ``spread_by``: a task writes few periods, and a period
+    that holds a large part of the rows is written by many tasks.
+    """
+    spread = df.repartitionByRange("etl_period", spread_by)
+    spread.write.mode("append").partitionBy("etl_period").parquet(path)
+
+
 def last_n_periods(df: DataFrame, as_of: dt.date, months: int = 7) -> DataFrame:
     """Rows of the last ``months`` monthly periods; prunes partitions of a staging table."""
     return df.where(in_last_periods(F.col("etl_period"), as_of, months))

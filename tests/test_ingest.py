@@ -1,0 +1,210 @@
+"""CSV files, ZIP archives, the incremental load and the staging layout."""
+
+import datetime as dt
+import os
+import uuid
+import zipfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from tenderloom.schemas import STAGING, SUPPLIERS
+from tenderloom.session import work_folder
+from tenderloom.sources.archives import scan_archives
+from tenderloom.sources.csv_files import scan_csv, stamp
+from tenderloom.sources.tables import (
+    last_n_periods,
+    read_staging,
+    read_table,
+    to_contract,
+    write_staging,
+    write_table,
+)
+from tenderloom.streaming.staging_stream import append_staging
+
+BIDS = [c for c in STAGING["stg_ofertas"].names if c not in ("etl_period", "source_file", "loaded_at", "batch_id")]
+HEADER = "NRO_SICOP,EXTRA,NRO_OFERTA,CEDULA_PROVEEDOR,FECHA_PRESENTA_OFERTA,TIPO_OFERTA\n"
+
+
+@pytest.fixture
+def month(tmp_path):
+    def write(period, body, header=HEADER, name="Ofertas.csv"):
+        folder = tmp_path / "csv" / period
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text(header + body, encoding="utf-8")
+        return str(tmp_path / "csv")
+
+    return write
+
+
+def test_csv_subset_keeps_text_and_tells_null_from_empty(spark, month):
+    root = month("202601", 'S1,x,"O ""1""",ñ,,\n S2 ,x,"",007,"a,b",1.50\n')
+    df = scan_csv(spark, f"{root}/*", BIDS)
+    assert df.dtypes == [(c, "string") for c in BIDS]
+    assert [tuple(r) for r in df.orderBy("nro_sicop").collect()] == [
+        (" S2 ", "", "007", "a,b", "1.50"),
+        ("S1", 'O "1"', "ñ", None, None),
+    ]
+
+
+def test_csv_line_breaks_in_quotes(spark, month):
+    root = month("202601", 'S1,x,"O\n1",P,,\n')
+    assert [r.nro_oferta for r in scan_csv(spark, f"{root}/*", BIDS, multiline=True).collect()] == ["O\n1"]
+
+
+def test_csv_with_another_column_order_is_refused(spark, month):
+    month("202601", "S1,x,O1,P1,f,t\n")
+    root = month("202602", "O2,x,S2,P1,f,t\n", header="NRO_OFERTA,EXTRA,NRO_SICOP,CEDULA_PROVEEDOR,FECHA_PRESENTA_OFERTA,TIPO_OFERTA\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_csv(spark, f"{root}/*", BIDS).collect()
+
+
+def test_csv_missing_column(spark, month):
+    root = month("202601", "S1\n", header="NRO_SICOP\n")
+    with pytest.raises(ValueError, match="not in the header"):
+        scan_csv(spark, f"{root}/*", BIDS)
+
+
+def test_csv_short_row_is_refused(spark, month):
+    root = month("202601", "S1,x\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scan_csv(spark, f"{root}/*", BIDS).collect()
+
+
+def test_stamp(spark, month):
+    month("202601", "S1,x,O1,P1,f,t\n")
+    root = month("202602", "S2,x,O2,P1,f,t\n", name="Otras.csv")
+    batch = str(uuid.uuid4())
+    df = stamp(scan_csv(spark, f"{root}/*", BIDS), batch, period_pattern=r"/csv/(\d{6})/")
+    assert df.columns == STAGING["stg_ofertas"].names
+    rows = {r.nro_sicop: r for r in df.collect()}
+    assert (rows["S1"].etl_period, rows["S1"].source_file) == ("202601", "Ofertas.csv")
+    assert (rows["S2"].etl_period, rows["S2"].source_file) == ("202602", "Otras.csv")
+    assert {r.batch_id for r in rows.values()} == {batch} and len({r.loaded_at for r in rows.values()}) == 1
+    assert stamp(scan_csv(spark, f"{root}/*", BIDS), batch, period="202512").first().etl_period == "202512"
+
+
+def load(spark, root, target, checkpoint, **options):
+    header = HEADER.strip().split(",")
+    return append_staging(spark, f"{root}/*", target, checkpoint, header, BIDS, period_pattern=r"/csv/(\d{6})/", **options)
+
+
+def test_incremental_load_takes_every_file_once(spark, month, tmp_path):
+    target, checkpoint = str(tmp_path / "stg_ofertas"), str(tmp_path / "offsets")
+    month("202601", "S1,x,O1,P1,f,t\nS1,x,O1,P1,f,t\n")
+    root = month("202602", "S2,x,O2,P1,f,t\n")
+    first = load(spark, root, target, checkpoint, files_per_batch=1)
+
+    def rows():
+        return spark.read.schema(STAGING["stg_ofertas"].struct()).parquet(target).collect()
+
+    assert sorted((r.etl_period, r.nro_sicop) for r in rows()) == [("202601", "S1"), ("202601", "S1"), ("202602", "S2")]
+    load(spark, root, target, checkpoint)  # nothing new
+    assert len(rows()) == 3
+    month("202603", "S3,x,O3,P1,f,t\n")
+    second = load(spark, root, target, checkpoint)
+    assert len(rows()) == 4 and first != second
+    assert {r.etl_period: r.batch_id for r in rows()} == {"202601": first, "202602": first, "202603": second}
+    # A new checkpoint is a new load: the history keeps the copies.
+    load(spark, root, target + "_again", str(tmp_path / "offsets2"))
+    assert spark.read.parquet(target + "_again").count() == 4
+
+
+def write_zip(path, members):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, body in members.items():
+            z.writestr(name, body)
+
+
+def test_archives(spark, tmp_path):
+    root = str(tmp_path / "zips")
+    write_zip(f"{root}/2026/datos_202601.zip", {
+        "datos/OFERTAS.csv": "﻿" + HEADER + 'S1,x,"O\n1",ñ,,""\n',
+        "Otro.csv": "a,b\n1,2\n",
+    })
+    write_zip(f"{root}/datos_202602.zip", {"Ofertas.csv": HEADER + "".join(f"S{i},x,O{i},P,f,t\n" for i in range(20000))})
+    write_zip(f"{root}/datos_202603.zip", {"Otro.csv": "a\n1\n"})
+    write_zip(f"{root}/datos_202604.zip", {"Ofertas.csv": HEADER})
+    write_zip(f"{root}/datos_202605.zip", {"Ofertas.csv": ""})
+    df = scan_archives(spark, root, "Ofertas.csv", BIDS, "batch", period_pattern=r"_(\d{6})\.zip")
+    assert df.columns == STAGING["stg_ofertas"].names
+    assert {r.etl_period: r["count"] for r in df.groupBy("etl_period").count().collect()} == {"202601": 1, "202602": 20000}
+    row = df.where("etl_period = '202601'").first()
+    assert (row.nro_sicop, row.nro_oferta, row.cedula_proveedor, row.fecha_presenta_oferta, row.tipo_oferta) == (
+        "S1", "O\n1", "ñ", None, "",
+    )
+    assert (row.source_file, row.batch_id) == ("Ofertas.csv", "batch")
+    assert df.where("etl_period = '202602'").select("nro_sicop").distinct().count() == 20000
+
+
+def test_archive_blocks(spark, tmp_path, monkeypatch):
+    """A member larger than a block comes in several batches, whole."""
+    monkeypatch.setattr("tenderloom.sources.archives.BLOCK_BYTES", 1 << 12)
+    from tenderloom.sources.archives import _member_batches
+
+    path = str(tmp_path / "datos_202602.zip")
+    write_zip(path, {"Ofertas.csv": HEADER + "".join(f"S{i},x,O{i},P,f,t\n" for i in range(5000))})
+    batches = list(_member_batches(path, "Ofertas.csv", BIDS))
+    assert len(batches) > 5
+    assert [v for b in batches for v in b.column(0).to_pylist()] == [f"S{i}" for i in range(5000)]
+
+
+def test_archive_without_a_configured_column(spark, tmp_path):
+    write_zip(f"{tmp_path}/z/datos_202601.zip", {"Ofertas.csv": "NRO_SICOP\nS1\n"})
+    with pytest.raises(Exception, match="not in the header"):
+        scan_archives(spark, f"{tmp_path}/z", "Ofertas.csv", BIDS, "batch").collect()
+
+
+def test_staging_layout_prunes_periods(spark, staged, plan_of, tmp_path):
+    rows = [{"nro_sicop": f"S{i}", "etl_period": p} for i, p in enumerate(["202511", "202512", "202601", "202601"])]
+    for name in STAGING:
+        if name != "stg_ofertas":
+            write_staging(staged(name, [{"etl_period": "202601"}]), f"{tmp_path}/{name}", "batch_id")
+    write_staging(staged("stg_ofertas", rows), f"{tmp_path}/stg_ofertas", "nro_sicop")
+    write_staging(staged("stg_ofertas", rows[:1]), f"{tmp_path}/stg_ofertas", "nro_sicop")  # history grows
+    tables = read_staging(spark, str(tmp_path))
+    assert set(tables) == set(STAGING)
+    assert all(df.columns == [c for c in STAGING[n].names if c != "etl_period"] + ["etl_period"] for n, df in tables.items())
+    assert tables["stg_ofertas"].count() == 5
+    recent = last_n_periods(tables["stg_ofertas"], dt.date(2026, 1, 31), months=2)
+    assert sorted(r.nro_sicop for r in recent.collect()) == ["S1", "S2", "S3"]
+    assert "PartitionFilters: [isnotnull(etl_period" in plan_of(recent)
+
+
+def test_contract_maps_by_name(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("d", "c", "p", "1", "n", "t", "g", "unused")],
+        "distrito string, canton string, provincia string, cedula_proveedor string, nombre_proveedor string, "
+        "tipo_proveedor string, tamano string, other string",
+    )
+    row = to_contract(df, SUPPLIERS).first()
+    assert (row.provincia, row.canton, row.distrito) == ("p", "c", "d")
+    with pytest.raises(ValueError, match="missing columns"):
+        to_contract(df.drop("canton"), SUPPLIERS)
+    path = str(tmp_path / "dim")
+    for _ in range(2):  # writing again replaces
+        write_table(to_contract(df, SUPPLIERS), path, ("cedula_proveedor",))
+    assert read_table(spark, path, SUPPLIERS).count() == 1
+
+
+def test_clustered_files_split_a_large_value(spark, tmp_path):
+    """A value with a third of the rows is cut over several files, each with a narrow key range."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("row")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_table(df, str(tmp_path / "t"), ("k", "row"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = spark.read.parquet(str(tmp_path / "t")).where("k = 'hot'").select(F.input_file_name()).distinct().count()
+    assert files >= 2
+
+
+def test_work_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    first, second = work_folder(spark, "x"), work_folder(spark, "x")
+    assert first != second
+    if root:
+        assert first.startswith(root)
