@@ -680,5 +680,10 @@ def oracle_sql() -> dict[str, str]:
             ("stg_lineas_ofertadas",),
             f"SELECT {_payload('stg_lineas_ofertadas')}, etl_period, '{BATCH}' AS batch_id FROM stg_lineas_ofertadas",
         ),
+        "archive_append_stream": _with(
+            ("stg_lineas_ofertadas",),
+            f"SELECT {_payload('stg_lineas_ofertadas')}, etl_period, '{BATCH}' AS batch_id FROM stg_lineas_ofertadas "
+            "WHERE etl_period BETWEEN '199806' AND '199812'",
+        ),
         "full_refresh_summary": _refresh_summary(),
     }

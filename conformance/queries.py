@@ -31,7 +31,7 @@ from tenderloom.session import work_folder
 from tenderloom.sources.archives import scan_archives
 from tenderloom.sources.csv_files import scan_csv, stamp
 from tenderloom.sources.tables import last_n_periods, read_table, write_staging, write_table
-from tenderloom.streaming.staging_stream import append_staging
+from tenderloom.streaming.staging_stream import append_archives, append_staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -398,6 +398,25 @@ def archive_ingest(spark, sf_dir):
     return rows.select(*columns, "etl_period", "batch_id")
 
 
+def archive_append_stream(spark, sf_dir):
+    """The archives of the seven months up to December 1998, loaded incrementally."""
+    table, member, folder = "stg_lineas_ofertadas", "LineasOfertadas.csv", work_folder(spark, "zip")
+    columns, staging = _payload(table), work_folder(spark, "staging")
+    files.write_monthly_zips(fx.stg_lineas_ofertadas(spark, sf_dir), folder, member, columns)
+    append_archives(
+        spark,
+        folder,
+        staging,
+        work_folder(spark, "offsets"),
+        {member: table},
+        as_of=dt.date(1998, 12, 31),
+        batch_id=fx.BATCH,
+        period_pattern=r"/(\d{6})-\d{5}\.zip",
+    )
+    staged = spark.read.schema(STAGING[table].struct()).parquet(f"{staging}/{table}")
+    return staged.select(*columns, "etl_period", "batch_id")
+
+
 QUERIES: dict[str, Query] = {
     "supplier_buyer_ranking": supplier_buyer_ranking,
     "awards_by_buyer_for_supplier": awards_by_buyer_for_supplier,
@@ -445,5 +464,6 @@ QUERIES: dict[str, Query] = {
     "stamp_metadata": stamp_metadata,
     "staging_append_stream": staging_append_stream,
     "archive_ingest": archive_ingest,
+    "archive_append_stream": archive_append_stream,
     "full_refresh_summary": full_refresh_summary,
 }

@@ -18,9 +18,10 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderloom.sources.csv_files import PERIOD_IN_PATH, text_schema
+from tenderloom.sources.csv_files import PERIOD_IN_PATH, period_of, technical_columns, text_schema
 
 BLOCK_BYTES = 4 << 20
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def _open(uri: str) -> pa.NativeFile:
@@ -74,26 +75,27 @@ def _parse(stream, header, wanted, columns) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(batch.columns, names=list(columns))
 
 
-def scan_archives(
-    spark: SparkSession,
-    folder: str,
+def list_archives(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
+    """Paths of the ZIP files under ``folder``; their content is not read."""
+    reader = spark.readStream.schema(BINARY_FILE) if streaming else spark.read
+    return (
+        reader.format("binaryFile")
+        .option("pathGlobFilter", "*.zip")
+        .option("recursiveFileLookup", "true")
+        .load(folder)
+        .select("path")
+    )
+
+
+def read_members(
+    archives: DataFrame,
     member: str,
     columns: Sequence[str],
     batch_id: str,
     period: str | None = None,
     period_pattern: str = PERIOD_IN_PATH,
 ) -> DataFrame:
-    """Rows of ``member`` in every ZIP under ``folder``, stamped like a CSV load.
-
-    The period is the caller's or is taken from the archive path.
-    """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.zip")
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-        .select("path")
-    )
+    """Rows of ``member`` in every listed archive, stamped like a CSV load."""
     out_columns = [*columns, "archive"]
 
     def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,12 +105,19 @@ def scan_archives(
                     archive = pa.repeat(pa.scalar(uri, pa.string()), rows.num_rows)
                     yield pa.RecordBatch.from_arrays([*rows.columns, archive], names=out_columns)
 
-    rows = listing.mapInArrow(unzip, text_schema(out_columns))
-    etl_period = F.lit(period) if period else F.regexp_extract("archive", period_pattern, 1)
-    return rows.select(
-        *columns,
-        etl_period.alias("etl_period"),
-        F.lit(member).alias("source_file"),
-        F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
-        F.lit(batch_id).alias("batch_id"),
-    )
+    rows = archives.select("path").mapInArrow(unzip, text_schema(out_columns))
+    etl_period = F.lit(period) if period else period_of(F.col("archive"), period_pattern)
+    return rows.select(*columns, *technical_columns(etl_period, F.lit(member), batch_id))
+
+
+def scan_archives(
+    spark: SparkSession,
+    folder: str,
+    member: str,
+    columns: Sequence[str],
+    batch_id: str,
+    period: str | None = None,
+    period_pattern: str = PERIOD_IN_PATH,
+) -> DataFrame:
+    """Rows of ``member`` in every ZIP under ``folder``."""
+    return read_members(list_archives(spark, folder), member, columns, batch_id, period, period_pattern)

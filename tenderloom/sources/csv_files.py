@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PERIOD_IN_PATH = r"(\d{6})"
+# The last yyyyMM that stands alone in a path: .../datos_202601.zip, .../202601/Proveedores.csv
+PERIOD_IN_PATH = r"^.*(?<![0-9A-Za-z])(20\d{2}(?:0[1-9]|1[0-2]))(?![0-9A-Za-z])"
 # The reader's stand-in for a quoted empty field, which it would otherwise merge with a missing one.
 QUOTED_EMPTY = "\u0001"
 
@@ -72,17 +73,22 @@ def stamp(
 ) -> DataFrame:
     """Adds etl_period, source_file, loaded_at and batch_id to rows read from files.
 
-    The period is the caller's, or the first match of ``period_pattern`` in the file path.  One
-    batch id marks the whole load.
+    The period is the caller's, or is found in the file path by ``period_pattern``; a path without
+    one stops the load.  One batch id marks the whole load.
     """
-    if period is None:
-        etl_period = F.regexp_extract("_metadata.file_path", period_pattern, 1)
-    else:
-        etl_period = F.lit(period)
-    return df.select(
-        "*",
+    etl_period = F.lit(period) if period else period_of(F.col("_metadata.file_path"), period_pattern)
+    return df.select("*", *technical_columns(etl_period, F.col("_metadata.file_name"), batch_id))
+
+
+def period_of(path: Column, pattern: str = PERIOD_IN_PATH) -> Column:
+    found = F.nullif(F.regexp_extract(path, pattern, 1), F.lit(""))
+    return F.coalesce(found, F.raise_error(F.concat(F.lit("no period in "), path)))
+
+
+def technical_columns(etl_period: Column, source_file: Column, batch_id: str) -> list[Column]:
+    return [
         etl_period.alias("etl_period"),
-        F.col("_metadata.file_name").alias("source_file"),
+        source_file.alias("source_file"),
         F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
         F.lit(batch_id).alias("batch_id"),
-    )
+    ]

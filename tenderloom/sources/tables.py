@@ -45,15 +45,15 @@ def to_contract(df: DataFrame, table: Table) -> DataFrame:
     return df.select(*[F.col(c.name).cast(c.type).alias(c.name) for c in table.columns])
 
 
-def write_table(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> None:
+def write_table(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
     """Idempotent overwrite.
 
-    ``cluster_by`` range-partitions and sorts the files, so that a filter on its first column skips
-    files and row groups by their min/max statistics.  End it with the row key: a value that holds
-    a large part of the rows is then cut over several files.
+    ``sort_by`` orders the rows inside each file, so that a filter on its first column skips row
+    groups and pages by their min/max statistics.  It needs no shuffle, and a value that holds a
+    large part of the rows stays spread over the files.
     """
-    if cluster_by:
-        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*sort_by)
     df.write.mode("overwrite").parquet(path)
 
 

@@ -1,21 +1,43 @@
-"""Incremental load of CSV files into the staging history."""
+"""Incremental load of CSV files and ZIP archives into the staging history.
+
+Files are taken in paced micro-batches until none is left.  The checkpoint and the commit log of the
+Parquet sink make a restarted or repeated load add every file exactly once, which matters because
+description frequencies count the whole history.  Staging folders are partitioned by period.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tenderloom.functions.calendar import in_last_periods
+from tenderloom.schemas import STAGING, TECHNICAL
+from tenderloom.sources.archives import list_archives, read_members
 from tenderloom.sources.csv_files import (
     PERIOD_IN_PATH,
     csv_options,
     match_columns,
+    period_of,
     stamp,
     text_schema,
 )
 
 
+def _append(rows: DataFrame, target: str, checkpoint: str) -> None:
+    query = (
+        rows.writeStream.format("parquet")
+        .partitionBy("etl_period")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(target)
+    )
+    query.awaitTermination()
+
+
 def append_staging(
     spark: SparkSession,
     source: str,
@@ -29,12 +51,9 @@ def append_staging(
     files_per_batch: int = 1000,
     **options,
 ) -> str:
-    """Append the files of ``source`` that were not loaded before; returns the batch id.
+    """Append the CSV files of ``source`` that were not loaded before; returns the batch id.
 
-    Files are taken in paced micro-batches until none is left.  The checkpoint and the commit log
-    of the Parquet sink make a restarted or repeated load add every file exactly once, which
-    matters because description frequencies count the whole history.  ``source`` may hold
-    sub-folders (a glob), ``target`` is partitioned by period.
+    ``source`` may be a glob over sub-folders.
     """
     batch_id = batch_id or str(uuid.uuid4())
     files = (
@@ -44,12 +63,34 @@ def append_staging(
         .csv(source)
     )
     rows = stamp(files.select(*match_columns(header, columns)), batch_id, period, period_pattern)
-    query = (
-        rows.writeStream.format("parquet")
-        .partitionBy("etl_period")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(target)
-    )
-    query.awaitTermination()
+    _append(rows, target, checkpoint)
+    return batch_id
+
+
+def append_archives(
+    spark: SparkSession,
+    folder: str,
+    staging_root: str,
+    checkpoint_root: str,
+    members: dict[str, str],
+    as_of: dt.date | None = None,
+    months: int = 7,
+    batch_id: str | None = None,
+    period_pattern: str = PERIOD_IN_PATH,
+) -> str:
+    """Append the monthly archives of ``folder`` that were not loaded before to their staging tables.
+
+    ``members`` maps a CSV member to its staging table.  With ``as_of``, only archives of the last
+    ``months`` periods are opened; an older one counts as seen.  All tables of a load share one batch
+    id, which is returned.
+    """
+    batch_id = batch_id or str(uuid.uuid4())
+    technical = {c.name for c in TECHNICAL}
+    for member, table in members.items():
+        archives = list_archives(spark, folder, streaming=True)
+        if as_of is not None:
+            archives = archives.where(in_last_periods(period_of(F.col("path"), period_pattern), as_of, months))
+        columns = [c for c in STAGING[table].names if c not in technical]
+        rows = read_members(archives, member, columns, batch_id, period_pattern=period_pattern)
+        _append(rows, f"{staging_root}/{table}", f"{checkpoint_root}/{table}")
     return batch_id

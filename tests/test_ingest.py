@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tenderloom.schemas import STAGING, SUPPLIERS
 from tenderloom.session import work_folder
 from tenderloom.sources.archives import scan_archives
-from tenderloom.sources.csv_files import scan_csv, stamp
+from tenderloom.sources.csv_files import period_of, scan_csv, stamp
 from tenderloom.sources.tables import (
     last_n_periods,
     read_staging,
@@ -20,7 +20,7 @@ from tenderloom.sources.tables import (
     write_staging,
     write_table,
 )
-from tenderloom.streaming.staging_stream import append_staging
+from tenderloom.streaming.staging_stream import append_archives, append_staging
 
 BIDS = [c for c in STAGING["stg_ofertas"].names if c not in ("etl_period", "source_file", "loaded_at", "batch_id")]
 HEADER = "NRO_SICOP,EXTRA,NRO_OFERTA,CEDULA_PROVEEDOR,FECHA_PRESENTA_OFERTA,TIPO_OFERTA\n"
@@ -138,6 +138,40 @@ def test_archives(spark, tmp_path):
     assert df.where("etl_period = '202602'").select("nro_sicop").distinct().count() == 20000
 
 
+def test_incremental_archives(spark, tmp_path):
+    root, staging, offsets = (str(tmp_path / n) for n in ("zips", "staging", "offsets"))
+    suppliers = "cedula_proveedor,nombre_proveedor,tipo_proveedor,TAMAÑO_PROVEEDOR,fecha_constitucion,zona_geo_prov,fecha_registro\n"
+    for period in ("202507", "202601", "202602"):
+        write_zip(f"{root}/datos_{period}.zip", {"Ofertas.csv": HEADER + "S1,x,O1,P,f,t\n", "Proveedores.csv": suppliers + "P,n,t,PYME,,,\n"})
+    members = {"Ofertas.csv": "stg_ofertas", "Proveedores.csv": "stg_proveedores"}
+    as_of = dt.date(2026, 2, 28)
+    first = append_archives(spark, root, staging, offsets, members, as_of=as_of)
+
+    def periods(table):
+        df = spark.read.schema(STAGING[table].struct()).parquet(f"{staging}/{table}")
+        return sorted((r.etl_period, r.batch_id) for r in df.collect())
+
+    assert periods("stg_ofertas") == periods("stg_proveedores") == [("202601", first), ("202602", first)]
+    append_archives(spark, root, staging, offsets, members, as_of=as_of)
+    assert len(periods("stg_ofertas")) == 2
+    write_zip(f"{root}/datos_202603.zip", {"Ofertas.csv": HEADER + "S2,x,O1,P,f,t\n"})
+    second = append_archives(spark, root, staging, offsets, members, as_of=dt.date(2026, 3, 31))
+    assert periods("stg_ofertas")[-1] == ("202603", second) and len(periods("stg_proveedores")) == 2
+    assert spark.read.parquet(f"{staging}/stg_proveedores").first()["tamaÑo_proveedor"] == "PYME"
+
+
+def test_path_without_period_stops(spark, month):
+    root = month("enero", "S1,x,O1,P1,f,t\n")
+    with pytest.raises(Exception, match="no period in"):
+        stamp(scan_csv(spark, f"{root}/*", BIDS), "batch").collect()
+
+
+def test_period_stands_alone_in_the_path(spark):
+    paths = ["/a201234b/202512/datos_202601.zip", "/x/20260105/202602/Ofertas.csv", "/2026/03-202604.zip"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert [r[0] for r in df.select(period_of(F.col("p"))).collect()] == ["202601", "202602", "202604"]
+
+
 def test_archive_blocks(spark, tmp_path, monkeypatch):
     """A member larger than a block comes in several batches, whole."""
     monkeypatch.setattr("tenderloom.sources.archives.BLOCK_BYTES", 1 << 12)
@@ -188,18 +222,27 @@ def test_contract_maps_by_name(spark, tmp_path):
     assert read_table(spark, path, SUPPLIERS).count() == 1
 
 
-def test_clustered_files_split_a_large_value(spark, tmp_path):
-    """A value with a third of the rows is cut over several files, each with a narrow key range."""
+def test_sorted_files_spread_a_large_value(spark, tmp_path):
+    """A value with a third of the rows stays in several files, sorted in each, without a shuffle."""
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("row")
     )
+    write_table(df, str(tmp_path / "t"), ("k",))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    files = stored.where("k = 'hot'").select(F.input_file_name()).distinct().count()
+    assert files == 4  # the partitions of the test session
+    assert stored.count() == 3000
+
+
+def test_large_period_is_written_by_several_tasks(spark, staged, tmp_path):
+    rows = [{"nro_sicop": f"S{i:04d}", "etl_period": "202601" if i % 3 else f"2025{1 + i % 12:02d}"} for i in range(1200)]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        write_table(df, str(tmp_path / "t"), ("k", "row"))
+        write_staging(staged("stg_ofertas", rows), str(tmp_path / "t"), "nro_sicop")
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    files = spark.read.parquet(str(tmp_path / "t")).where("k = 'hot'").select(F.input_file_name()).distinct().count()
-    assert files >= 2
+    assert len(list((tmp_path / "t" / "etl_period=202601").glob("*.parquet"))) >= 2
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1200
 
 
 def test_work_folder(spark):

@@ -51,9 +51,9 @@ def test_strict_refresh(spark, staged, tmp_path):
 def test_refresh_twice_gives_the_same_tables(spark, tmp_path):
     staging = fx.staging(spark, SF)
     first = full_refresh(spark, staging, str(tmp_path / "a")).collect()
-    # Other row order, other partitions, other file layout.
+    # Other row order, other partitions.
     again = {n: df.repartition(3) for n, df in staging.items()}
-    second = full_refresh(spark, again, str(tmp_path / "b"), cluster=False).collect()
+    second = full_refresh(spark, again, str(tmp_path / "b")).collect()
     assert sorted(map(tuple, first)) == sorted(map(tuple, second))
     for name, table in MODEL.items():
         a, b = read_table(spark, f"{tmp_path}/a/{name}", table), read_table(spark, f"{tmp_path}/b/{name}", table)
