@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import os
+import sys
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.csv as pacsv
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Task code travels with the job, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def write_monthly_csv(df: DataFrame, folder: str) -> None:
     """One sub-folder of CSV files per period; the period is in the path, not in the files."""

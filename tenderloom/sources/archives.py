@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import codecs
 import csv
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 from urllib.parse import unquote, urlparse
@@ -15,11 +16,15 @@ from urllib.parse import unquote, urlparse
 import pyarrow as pa
 import pyarrow.csv as pacsv
 import pyarrow.fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderloom.sources.csv_files import PERIOD_IN_PATH, period_of, technical_columns, text_schema
 
+# Task code travels with the job, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_BYTES = 4 << 20
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
