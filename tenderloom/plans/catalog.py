@@ -73,9 +73,13 @@ def with_segment_name(df: DataFrame) -> DataFrame:
 
 
 def catalog_from_counts(counts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    products = product_names(counts).withColumn("cod_mercancia", commodity(F.col("cod_producto")))
-    named = spread_join(products, commodity_names(counts), ["cod_mercancia"], "left", hot_rows)
     code = F.col("cod_producto")
+    products = product_names(counts).withColumn("cod_mercancia", commodity(code))
+    # Commodities with many codes are found in the counts; asking for n keeps the shuffle shared.
+    mentioned = counts.where("n > 0").select(commodity(code).alias("cod_mercancia"))
+    named = spread_join(
+        products, commodity_names(counts), ["cod_mercancia"], "left", hot_rows, stats=mentioned
+    )
     decoded = named.select(
         code,
         F.left("descripcion_producto", F.lit(CATALOG.lengths["descripcion_producto"])).alias(

@@ -3,7 +3,8 @@
 Every input is narrowed to the columns the fact needs before its versions are compared, so the
 shuffles carry nothing else.  Versions are removed before the join, which keeps both sides small.
 Lines are shuffled by their own key and then by the header key: one shuffle on the header key alone
-would put all lines of a large tender into one task.
+would put all lines of a large tender into one task.  Hot header keys are looked for in the staged
+lines, by a scan of the key columns only; copies of a line can only make a key look hotter.
 """
 
 from __future__ import annotations
@@ -119,7 +120,7 @@ def tender_line_fact(
     tender = latest_tenders(tenders).drop(*VERSION)
     c = F.col
     typed = select_typed(
-        spread_join(line, tender, ["nro_sicop"], "left", hot_rows),
+        spread_join(line, tender, ["nro_sicop"], "left", hot_rows, stats=lines),
         [
             c("nro_sicop"),
             c("nro_procedimiento"),
@@ -156,7 +157,7 @@ def bid_line_fact(
     bid = latest_bids(bids).drop(*VERSION)
     c = F.col
     typed = select_typed(
-        spread_join(line, bid, ["nro_oferta"], "left", hot_rows),
+        spread_join(line, bid, ["nro_oferta"], "left", hot_rows, stats=lines),
         [
             composite_key(c("nro_oferta"), c("nro_linea")).alias("nro_oferta_nro_linea"),
             c("cedula_proveedor"),
@@ -185,11 +186,8 @@ def award_line_fact(
 
     A procedure line that matches several bids gives its full amount to each of them.
     """
-    line = (
-        latest_award_lines(lines)
-        .drop(*VERSION)
-        .withColumn("_code", product_code(F.col("codigo_producto")))
-    )
+    code = product_code(F.col("codigo_producto"))
+    line = latest_award_lines(lines).drop(*VERSION).withColumn("_code", code)
     procedure = (
         latest_procedures(procedures)
         .drop(*VERSION)
@@ -198,7 +196,14 @@ def award_line_fact(
     )
     c = F.col
     typed = select_typed(
-        spread_join(line, procedure, ["nro_sicop", "nro_linea", "_code"], "left", hot_rows),
+        spread_join(
+            line,
+            procedure,
+            ["nro_sicop", "nro_linea", "_code"],
+            "left",
+            hot_rows,
+            stats=lines.withColumn("_code", code),
+        ),
         [
             composite_key(c("nro_sicop"), c("nro_linea")).alias("nro_sicop_nro_linea"),
             c("nro_sicop"),
