@@ -26,6 +26,8 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "ten
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # A refresh compiles more stages than the default cache keeps; recompiled ones run cold.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
