@@ -78,3 +78,21 @@ def test_left_joins_keep_every_line(spark):
 
     lines, tenders = fx.stg_lineas_carteles(spark, SF), fx.stg_carteles(spark, SF)
     assert facts.tender_line_fact(lines, tenders).count() == facts.latest_tender_lines(lines).count()
+
+
+def test_spread_facts_equal_plain_ones(spark, no_broadcast):
+    """Every key treated as hot against none: same facts and catalog."""
+    from tenderloom.plans import catalog, facts
+
+    st = fx.staging(spark, SF)
+    lines, bid_lines = st["stg_lineas_carteles"], st["stg_lineas_ofertadas"]
+    awards, procedures = st["stg_lineas_adjudicadas"], st["stg_procedimientos_adjudicacion"]
+    builds = (
+        lambda n: facts.tender_line_fact(lines, st["stg_carteles"], hot_rows=n),
+        lambda n: facts.bid_line_fact(bid_lines, st["stg_ofertas"], hot_rows=n),
+        lambda n: facts.award_line_fact(awards, procedures, hot_rows=n),
+        lambda n: catalog.product_catalog(lines, bid_lines, awards, procedures, hot_rows=n),
+    )
+    for build in builds:
+        spread, plain = build(1), build(10**6)
+        assert spread.exceptAll(plain).isEmpty() and spread.count() == plain.count()
