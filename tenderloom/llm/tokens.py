@@ -13,14 +13,17 @@ import re
 from tenderloom.llm.common import kept_in_worker, slices
 
 # Unicode's White_Space, as the tokenizers' regular expressions know it.
-SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Byte-level vocabularies keep white space: a space belongs to the word after it.
 WITH_SPACES = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 # Word-level vocabularies drop it.
 WORDS_ONLY = f"[^{SPACE}]+"
 
+# Stands between parts that are encoded in one go: a piece of its own, and a single id that no part can have.
+BETWEEN = {WITH_SPACES: "\n", WORDS_ONLY: " \x01 "}
+
 MAX_PART = 64
-MAX_CACHE = 300_000
+MAX_CACHE = 250_000
 
 
 def public_path(name: str) -> str:
@@ -39,25 +42,44 @@ class Encoder:
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
         self.parts = re.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
+        self.between = BETWEEN[pattern]
+        (self.border,) = self._whole(self.between)
+        # Two generations: when the young one is full, the old one goes, and parts that come again move back.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> list[int]:
+        return self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _ids(self, parts: list[str]) -> list[bytes]:
+    def _learn(self, parts: list[str]) -> dict[str, bytes]:
         import numpy as np
 
-        return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(parts, add_special_tokens=False)]
+        mark = self.between.strip(" ")
+        plain = [p for p in parts if mark not in p and p.strip()]
+        ids = np.array(self._whole(self.between.join(plain)), "<u4")
+        at = np.flatnonzero(ids == self.border)
+        bounds = [0, *(at + 1).tolist(), len(ids) + 1]
+        data = ids.tobytes()
+        found = {p: data[4 * i : 4 * j - 4] for p, i, j in zip(plain, bounds, bounds[1:])}
+        for p in set(parts) - found.keys():
+            found[p] = np.array(self._whole(p), "<u4").tobytes()
+        return found
 
     def _slice(self, texts: list[str]) -> list[bytes]:
         parts = [self.parts(text) for text in texts]
-        if len(self.known) > MAX_CACHE:
-            self.known.clear()
-        new = list({p for row in parts for p in row} - self.known.keys())
-        known = self.known
-        fresh = dict(zip(new, self._ids(new)))
-        known.update((p, ids) for p, ids in fresh.items() if len(p) <= MAX_PART)
-        long = {p: ids for p, ids in fresh.items() if len(p) > MAX_PART}
-        if long:
-            known = known | long
-        return [b"".join(map(known.__getitem__, row)) for row in parts]
+        if len(self.young) > MAX_CACHE:
+            self.young, self.old = {}, self.young
+        known, old = self.young, self.old
+        missing = {p for row in parts for p in row} - known.keys()
+        again = missing & old.keys()
+        known.update((p, old[p]) for p in again)
+        fresh = self._learn(list(missing - again))
+        known.update(fresh)
+        out = [b"".join(map(known.__getitem__, row)) for row in parts]
+        for p in fresh:
+            if len(p) > MAX_PART:
+                del known[p]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []

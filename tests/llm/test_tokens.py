@@ -1,0 +1,260 @@
+"""Packing, token files, byte BPE and the separator scan against plain encoding."""
+
+import hashlib
+import zlib
+
+import numpy as np
+import public_tokenizers as public
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_rows import ODD
+from tokenizers import Tokenizer
+
+from tenderloom.llm import byte_bpe, huffman, packing, queries, separator_scan
+from tenderloom.llm.tokens import WITH_SPACES, WORDS_ONLY, Encoder, public_path
+from tenderloom.session import work_folder
+
+WORD, BYTE = "word_bpe_49k.json", "byte_bpe_50k.json"
+MULTI = "byte_bpe_multi_50k.tiktoken"
+
+
+@pytest.fixture(scope="module")
+def plain():
+    models = {}
+    for name in (WORD, BYTE):
+        models[name] = Tokenizer.from_file(public_path(name))
+        models[name].encode_special_tokens = True
+    return lambda name, text: models[name].encode(text, add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def tiktoken_model():
+    import base64
+
+    import tiktoken
+
+    with open(public_path(MULTI), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab's \n\t\r\x1c\x85 é́Σ<|1!\U0001f600"), max_size=40))
+def test_parts_give_the_ids_of_the_text(text):
+    for name, pattern in ((WORD, WORDS_ONLY), (BYTE, WITH_SPACES)):
+        own = Encoder(public_path(name), pattern)
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == own.model.encode(
+            text, add_special_tokens=False
+        ).ids
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def expected_pieces(rows, plain):
+    out = []
+    for doc_id, text in rows:
+        ids = [*plain(WORD, text), 0]
+        for k in range(0, len(ids), 2048):
+            out.append((doc_id, k // 2048, k, len(ids[k : k + 2048]), crc(ids[k : k + 2048])))
+    return sorted(out, key=str)
+
+
+def places_hold(rows, capacity=2048):
+    """Offsets leave no gap and nothing exceeds the capacity; gives the number of sequences."""
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in by_sequence.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(by_sequence)
+
+
+def test_packing_of_the_table(spark, sf, texts, plain):
+    rows = queries.op2_best_two_fit_packing(spark, sf).collect()
+    assert sorted([tuple(r)[:5] for r in rows], key=str) == expected_pieces(texts.items(), plain)
+    total = sum(r["length"] for r in rows)
+    assert places_hold(rows) <= -(-total // 2048) + 2
+
+
+def test_packing_of_odd_rows(odd, plain):
+    rows = packing.pack(packing.token_pieces(odd, public_path(WORD))).collect()
+    assert sorted([tuple(r)[:5] for r in rows], key=str) == expected_pieces([(i, t or "") for i, t, _ in ODD], plain)
+    places_hold(rows)
+
+
+def test_packing_of_nothing(empty):
+    assert packing.pack(packing.token_pieces(empty, public_path(WORD))).collect() == []
+
+
+def test_packed_sequences_hold_the_ids(documents, texts, plain):
+    packed = packing.pack(packing.token_pieces(documents, public_path(WORD), with_ids=True))
+    sequences = packing.packed_sequences(packed).collect()
+    assert sum(r["n_tokens"] for r in sequences) == sum(len(plain(WORD, t)) + 1 for t in texts.values())
+    assert all(len(r["ids"]) == 4 * r["n_tokens"] <= 4 * 2048 for r in sequences)
+
+
+def one_by_one(lengths, capacity):
+    """Best-two-fit, one sequence at a time."""
+    left, sequences = sorted(lengths, reverse=True), []
+    while left:
+        rest, chosen, free = capacity, [], list(left)
+        for x in left:
+            if x <= rest:
+                chosen.append(x)
+                free.remove(x)
+                rest -= x
+        if len(chosen) > 1 and rest:
+            gap, best = rest + chosen[-1], None
+            for i, a in enumerate(free):
+                for b in free[i + 1 :]:
+                    if chosen[-1] < a + b <= gap and (best is None or (a + b, a) > (sum(best), best[0])):
+                        best = [a, b]
+            if best:
+                chosen[-1:] = best
+        for x in chosen:
+            left.remove(x)
+        sequences.append(chosen)
+    return sequences
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=60))
+def test_patterns_are_those_of_one_by_one(lengths):
+    counts = {x: lengths.count(x) for x in set(lengths)}
+    plan = packing.best_two_fit(counts, 30)
+    assert [p.lengths for p in plan for _ in range(p.times)] == one_by_one(lengths, 30)
+
+
+def test_too_long_a_piece_is_refused():
+    with pytest.raises(ValueError):
+        packing.best_two_fit({31: 1}, 30)
+
+
+# --- Huffman files ---------------------------------------------------------------------------------
+
+
+def test_token_files_of_the_table(spark, sf, texts, plain):
+    at = 0
+    rows = {r["doc_id"]: r for r in queries.op6_huffman_token_files(spark, sf).collect()}
+    assert len(rows) == len(texts)
+    for doc_id, text in sorted(texts.items()):
+        ids = [*plain(BYTE, text), 2]
+        r = rows[doc_id]
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(ids), crc(ids))
+        at += len(ids)
+
+
+def test_token_files_of_odd_rows_and_nothing(odd, empty, plain):
+    rows = huffman.round_trip(odd, public_path(BYTE)).collect()
+    want = sorted(((i is not None, i or 0, t or "") for i, t, _ in ODD))
+    got = sorted(rows, key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [i if known else None for known, i, _ in want]
+    ids = [np.frombuffer(r["ids"], "<u4").tolist() for r in got]
+    assert ids == [[*plain(BYTE, t), 2] for *_, t in want]
+    assert huffman.round_trip(empty, public_path(BYTE)).collect() == []
+
+
+def test_small_blocks_and_long_documents(spark, documents, texts, plain):
+    blocks = huffman.token_blocks(documents, public_path(BYTE), block_ids=100)
+    total = sum(sum(r["lengths"]) for r in blocks.collect())
+    assert total == sum(len(plain(BYTE, t)) + 1 for t in texts.values())
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 40), max_size=700), st.integers(6, 9))
+def test_blocks_decode_to_what_was_encoded(ids, max_bits):
+    counts = {i: ids.count(i) ** 3 for i in set(ids)}
+    bits = huffman.code_lengths(counts, max_bits)
+    assert all(n <= max_bits for n in bits.values())
+    assert sum(2.0**-n for n in bits.values()) <= 1
+    codes, lengths = huffman.code_table(bits)
+    symbols, sizes, width = huffman.decode_table(bits)
+    halves = [np.array(x, np.int64) for x in (ids[: len(ids) // 3], ids[len(ids) // 3 :])]
+    blocks = [(len(x), *huffman.encode_block(x, codes, lengths, 64)) for x in halves]
+    for x, y in zip(halves, huffman.decode_blocks(blocks, symbols, sizes, width, 64)):
+        assert x.tolist() == y.tolist()
+
+
+def test_code_lengths_are_the_best_within_the_limit():
+    import itertools
+
+    counts = {0: 1, 1: 1, 2: 2, 3: 9, 4: 30}
+    best = min(
+        sum(counts[i] * n for i, n in enumerate(ns))
+        for ns in itertools.product(range(1, 4), repeat=5)
+        if sum(2.0**-n for n in ns) <= 1
+    )
+    bits = huffman.code_lengths(counts, 3)
+    assert sum(counts[i] * n for i, n in bits.items()) == best
+    with pytest.raises(ValueError):
+        huffman.code_lengths(dict.fromkeys(range(9), 1), 3)
+
+
+# --- byte BPE --------------------------------------------------------------------------------------
+
+
+def digests(text, model):
+    ids = model.encode_ordinary(text)
+    sides = ",".join(map(str, ids)).encode(), text.encode()
+    return len(ids), *(hashlib.sha256(x).hexdigest() for x in sides)
+
+
+def test_byte_bpe_of_the_table(spark, sf, texts, tiktoken_model):
+    rows = queries.op9_byte_bpe(spark, sf).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in rows} == {i: digests(t, tiktoken_model) for i, t in texts.items()}
+
+
+@pytest.mark.parametrize(("chunk", "overlap"), [(32_768, 1_024), (40, 24), (7, 12)])
+def test_byte_bpe_of_odd_rows(spark, odd, tiktoken_model, chunk, overlap):
+    rows = ODD if chunk > 100 else [r for r in ODD if len(r[1] or "") < 1000]
+    rows = [*rows, (20, "they're " * 30 + " " * 90 + "x" * 70 + " \n \n  we'll 1234 ", None)]
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    path, pattern = public_path(MULTI), public.PATTERN
+    got = byte_bpe.decode_ids(byte_bpe.encode_texts(df, path, pattern, chunk, overlap), path, pattern).collect()
+    want = [(i, *digests(t or "", tiktoken_model)) for i, t, _ in rows]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_byte_bpe_of_nothing(empty):
+    path = public_path(MULTI)
+    assert byte_bpe.decode_ids(byte_bpe.encode_texts(empty, path, public.PATTERN), path, public.PATTERN).collect() == []
+
+
+# --- separator scan --------------------------------------------------------------------------------
+
+
+def test_scan_of_the_table(spark, sf, texts, plain):
+    rows = queries.op5_separator_scan(spark, sf).collect()
+    assert all(r["closed"] for r in rows)
+    assert {r["doc_id"]: r["n_tokens"] for r in rows} == {i: len(plain(BYTE, t)) for i, t in texts.items()}
+
+
+@pytest.mark.parametrize("block", [64, 1 << 16])
+def test_scan_of_odd_rows(spark, odd, plain, block):
+    path = work_folder(spark, "scan")
+    separator_scan.write_tokens(odd.where("coalesce(length(text), 0) < 1000"), path, public_path(BYTE), 3)
+    got = separator_scan.count_tokens(spark, path, block).collect()
+    want = [(i, len(plain(BYTE, t or ""))) for i, t, _ in ODD if len(t or "") < 1000]
+    assert sorted([(r["doc_id"], r["n_tokens"]) for r in got], key=str) == sorted(want, key=str)
+
+
+def test_scan_of_nothing_and_of_an_open_end(spark, empty, tmp_path):
+    path = work_folder(spark, "scan")
+    separator_scan.write_tokens(empty, path, public_path(BYTE))
+    assert separator_scan.count_tokens(spark, path).collect() == []
+    ids = np.array([5, 6, 0, 0, 7, 0, 8, 9, 9], "<u2")
+    (tmp_path / "flat").write_bytes(ids.tobytes())
+    for block in (2, 4, 6, 64):
+        rows = separator_scan.count_tokens(spark, str(tmp_path / "flat"), block).orderBy("position").collect()
+        assert [(r["position"], r["n_tokens"], r["closed"], r["doc_id"]) for r in rows] == [
+            (0, 2, True, None), (1, 0, True, None), (2, 1, True, None), (3, 3, False, None),
+        ]
+    with pytest.raises(ValueError):
+        separator_scan.count_tokens(spark, path, 63)
