@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ def codewords(languages: int):
 
     if languages <= EXHAUSTIVE_UP_TO:
         bits = range(1, 1 << max(languages - 1, 0))
-        rows = [[1] * len(bits)] + [[1 if b >> k & 1 else -1 for b in bits] for k in range(languages - 1)]
+        rows = [[1] * len(bits)] + [[-1 if b >> k & 1 else 1 for b in bits] for k in range(languages - 1)]
         return np.array(rows[:languages], np.float32).reshape(languages, len(bits))
     random = np.random.default_rng(languages)
     tries = [random.choice([-1.0, 1.0], (languages, int(12 * np.log2(languages)))) for _ in range(64)]
@@ -124,8 +125,6 @@ def learn(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     chosen = usable.where(F.pmod(F.xxhash64("id"), F.lit(whole)) < F.element_at(F.create_map(*cuts), F.col("lang")))
 
     def rows(batches) -> Iterator:
-        import pandas as pd
-
         for batch in batches:
             found = [x.astype("<f2").tobytes() for x in features(batch["text"].tolist())]
             yield pd.DataFrame({"id": batch["id"], "lang": batch["lang"], "x": found})
@@ -145,8 +144,6 @@ def predicted(text: Column, model: Model) -> Column:
     A null text, or one without a letter, is ``und`` with score 0 and not ambiguous; so is every text if no language
     was learnt.
     """
-    import pandas as pd
-
     @F.pandas_udf("lang string, score double, ambiguous boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:
         import numpy as np

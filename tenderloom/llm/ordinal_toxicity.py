@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,8 +118,6 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = usable.where(F.pmod(F.xxhash64("id"), F.lit(whole)) < share)
 
     def rows(batches) -> Iterator:
-        import pandas as pd
-
         for batch in batches:
             found = [" ".join(sorted(words_of(t))) for t in texts_of(batch["text"])]
             yield pd.DataFrame({"id": batch["id"], "toxic": batch["toxic"], "words": found})
@@ -134,8 +133,6 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def graded(text: Column, model: Model) -> Column:
     """struct(severity, grade, toxic) of each whole text; without a known word, a text has the grade of an empty one."""
-    import pandas as pd
-
     @F.pandas_udf("severity double, grade int, toxic boolean")
     def grade(texts: pd.Series) -> pd.DataFrame:
         import numpy as np
