@@ -22,11 +22,10 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 from collections.abc import Iterator
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderloom.llm.common import kept_in_worker, small_batches, staged, texts_of
@@ -38,8 +37,8 @@ SHORT_LIST = 32
 BLOCK = 64
 BLOCK_SHINGLES = 200_000
 MAX_WORDS = 200_000
-WORD = re.compile("[^\x20\x09-\x0d]+")
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+# A-Z alone are lower-cased: in UTF-8 no other character has their bytes.  White space of bytes is 20 and 09 to 0D.
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SETS = "n_shingles long, class long, sketch array<long>"
 
 
@@ -50,16 +49,16 @@ def shingle_set(text: str, words: int = WORDS):
     """
     import numpy as np
 
-    found = WORD.findall(text.translate(LOWER))
+    found = text.encode().translate(LOWER).split()
     if not found:
         return np.zeros(0, np.uint64)
     if len(found) < words:
-        return np.array([_value("\x00" + " ".join(found))], np.uint64)
+        return np.array([_value(b"\x00" + b" ".join(found))], np.uint64)
     known = kept_in_worker("words", dict)
     if len(known) > MAX_WORDS:
         known.clear()
-    known.update((w, _value(w)) for w in set(found) - known.keys())
-    ids = np.array(list(map(known.__getitem__, found)), np.uint64)
+    known.update([(w, _value(w)) for w in set(found) if w not in known])
+    ids = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
     n = len(ids) - words + 1
     value = np.zeros(n, np.uint64)
     for k in range(words):
@@ -67,10 +66,10 @@ def shingle_set(text: str, words: int = WORDS):
     return np.unique(value)
 
 
-def _value(text: str) -> int:
+def _value(word: bytes) -> int:
     import xxhash
 
-    return xxhash.xxh3_64_intdigest(text.encode())
+    return xxhash.xxh3_64_intdigest(word)
 
 
 def _mixed(x):

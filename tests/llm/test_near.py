@@ -1,5 +1,6 @@
 """Near-duplicate classes against all pairs."""
 
+import re
 from fractions import Fraction
 from itertools import combinations
 
@@ -13,7 +14,7 @@ from tenderloom.llm import bottom_k, queries
 def plain_sets(rows):
     out = []
     for doc_id, text in rows:
-        words = bottom_k.WORD.findall((text or "").translate(bottom_k.LOWER))
+        words = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: chr(ord(m[0]) + 32), text or ""))
         grams = {tuple(words[k : k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set())
         out.append((doc_id, frozenset(grams)))
     return out
