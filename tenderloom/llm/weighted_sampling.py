@@ -22,16 +22,19 @@ from pyspark.sql import functions as F
 from tenderloom.llm.common import kept_in_worker, small_batches, slices, texts_of
 
 SAMPLES = 64
-MAX_CACHE = 60_000
+MAX_CACHE = 100_000
 DIGITS = 4
 WORD = re.compile(r"\w+")
 FIRST = -(1 << 63)
 
 
-def weights_of(text: str) -> dict[tuple[str, int], float]:
-    """Weights by (word, occurrences); a text without words but not blank is one term, a blank one has none."""
-    counts = Counter(WORD.findall(text.lower())) or Counter([text.strip()] if text.strip() else [])
-    return {(w, n): float(n * len(w) ** 2) for w, n in counts.items()}
+def terms_of(text: str) -> Counter:
+    """Occurrences by lower-cased word; a text without words but not blank is one term, a blank one has none."""
+    return Counter(WORD.findall(text.lower())) or Counter([text.strip()] if text.strip() else [])
+
+
+def weight(word: str, times: int) -> float:
+    return float(times * len(word) ** 2)
 
 
 class Sampler:
@@ -42,56 +45,68 @@ class Sampler:
 
         self.samples = samples
         self.row: dict[tuple[str, int], int] = {}
-        self.ln_a = np.empty((0, samples), np.float32)
-        self.name = np.empty((0, samples), np.uint16)
+        # Per term and sample: ln a as a sortable integer, and in the last 16 bits the name of the term and t.
+        self.draws = np.empty((1024, samples), np.uint64)
 
-    def _draw(self, terms: list[tuple[str, int]], weights: list[float]):
+    def _draw(self, terms: list[tuple[str, int]]):
         import numpy as np
         import xxhash
 
         seeds = np.array([xxhash.xxh3_64_intdigest(w.encode()) for w, _ in terms], np.uint64)
-        lanes = np.arange(1, 5 * self.samples + 1, dtype=np.uint64).reshape(5, 1, self.samples)
+        lanes = np.arange(1, 2 * self.samples + 1, dtype=np.uint64).reshape(2, 1, self.samples)
         x = seeds[None, :, None] + lanes * np.uint64(0x9E3779B97F4A7C15)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(30)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(27)
+        x *= np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
-        u = ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
-        r, c, b = -np.log(u[0] * u[1]), -np.log(u[2] * u[3]), u[4]  # Gamma(2, 1) is the sum of two exponentials
-        t = np.floor(np.log(np.array(weights))[:, None] / r + b)
+
+        def uniform(bits, size):
+            return (bits.astype(np.float32) + np.float32(0.5)) * np.float32(0.5**size)
+
+        mask = np.uint64(0xFFFFFF)
+        products = uniform(x & mask, 24) * uniform(x >> np.uint64(24) & mask, 24)
+        r, c = -np.log(products)  # Gamma(2, 1) is the sum of two exponentials
+        b = uniform(x[0] >> np.uint64(48), 16)
+        t = np.floor(np.log(np.array([weight(*term) for term in terms], np.float32))[:, None] / r + b)
         ln_a = np.log(c) - r * (t - b) - r
-        named = (x[4] ^ (t.astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93))) * np.uint64(0xBF58476D1CE4E5B9)
-        name = (named >> np.uint64(48)).astype(np.uint16)
-        return ln_a.astype(np.float32), np.maximum(name, 1)  # 0 is for texts without terms
+        name = (x[1] >> np.uint64(48)) + t.astype(np.int64).view(np.uint64) * np.uint64(0x9E37) & np.uint64(0xFFFF)
+        bits = ln_a.view(np.uint32)
+        sortable = np.where(bits >> np.uint32(31), ~bits, bits | np.uint32(1 << 31)).astype(np.uint64)
+        return sortable << np.uint64(16) | np.maximum(name, np.uint64(1))  # 0 is for texts without terms
 
-    def _learn(self, bags: list[dict]) -> None:
+    def _learn(self, new: list[tuple[str, int]]) -> None:
         import numpy as np
 
-        if len(self.row) > MAX_CACHE:
-            self.row.clear()
-            self.ln_a, self.name = self.ln_a[:0], self.name[:0]
-        new = {term: s for bag in bags for term, s in bag.items() if term not in self.row}
-        if new:
-            ln_a, name = self._draw(list(new), list(new.values()))
-            first = len(self.row)
-            self.row.update((term, first + k) for k, term in enumerate(new))
-            self.ln_a, self.name = np.concatenate([self.ln_a, ln_a]), np.concatenate([self.name, name])
+        first = len(self.row)
+        if first + len(new) > len(self.draws):
+            self.draws = np.resize(self.draws, (2 * (first + len(new)), self.samples))
+        for k in range(0, len(new), 2048):
+            part = new[k : k + 2048]
+            self.draws[first + k : first + k + len(part)] = self._draw(part)
+        self.row.update(zip(new, range(first, first + len(new))))
 
     def fingerprints(self, texts: list[str]) -> list[bytes]:
         """Two bytes per sample; equal texts have equal fingerprints."""
         import numpy as np
 
-        out, lane = [], np.arange(self.samples)
-        for first, last in slices(texts, 200_000):
-            bags = [weights_of(t) for t in texts[first:last]]
-            self._learn(bags)
-            for bag in bags:
-                if not bag:
-                    out.append(bytes(2 * self.samples))
-                    continue
-                # In the order of the draws, so that equal minima are decided alike.
-                rows = np.array([self.row[term] for term in sorted(bag)])
-                best = rows[self.ln_a[rows].argmin(axis=0)]
-                out.append(self.name[best, lane].astype(">u2").tobytes())
+        out = []
+        for start, stop in slices(texts, 200_000):
+            bags = [terms_of(t).items() for t in texts[start:stop]]
+            if len(self.row) > MAX_CACHE:
+                self.row.clear()
+            found = self.row
+            new = [term for bag in bags for term in bag if term not in found]
+            if new:
+                self._learn(list(dict.fromkeys(new)))
+            sizes = [len(bag) for bag in bags]
+            rows = np.fromiter((found[term] for bag in bags for term in bag), np.int64, sum(sizes))
+            full = [k for k, n in enumerate(sizes) if n]
+            names = np.zeros((len(bags), self.samples), ">u2")
+            if full:
+                firsts = np.cumsum([0, *(sizes[k] for k in full)])[:-1]
+                names[full] = np.minimum.reduceat(self.draws[rows], firsts, axis=0) & np.uint64(0xFFFF)
+            out += [row.tobytes() for row in names]
         return out
 
 

@@ -6,7 +6,7 @@ import numpy as np
 from llm_rows import ODD
 
 from tenderloom.llm import queries, topk, weighted_sampling
-from tenderloom.llm.weighted_sampling import Sampler, likeness, weights_of
+from tenderloom.llm.weighted_sampling import Sampler, likeness, terms_of, weight
 
 
 def expected(rows):
@@ -43,7 +43,7 @@ def test_collisions_follow_the_generalised_jaccard_similarity():
     for _ in range(12):
         x = " ".join(random.choice(words, random.integers(20, 200)))
         y = " ".join([*x.split()[: random.integers(5, 150)], *random.choice(words, random.integers(1, 80))])
-        a, b = ({w: s for (w, _), s in weights_of(t).items()} for t in (x, y))
+        a, b = ({w: weight(w, n) for w, n in terms_of(t).items()} for t in (x, y))
         keys = a.keys() | b.keys()
         true = sum(min(a.get(k, 0), b.get(k, 0)) for k in keys) / sum(max(a.get(k, 0), b.get(k, 0)) for k in keys)
         errors.append(likeness(*Sampler(4096).fingerprints([x, y])) - true)
