@@ -87,7 +87,7 @@ def encode_block(ids, codes, lengths, every: int = CHECKPOINT) -> tuple[bytes, b
     return starts[::every].astype("<u4").tobytes(), words.astype(">u4").tobytes()
 
 
-def decode_blocks(blocks: list[tuple[int, bytes, bytes]], symbols, lengths, max_bits: int, every: int = CHECKPOINT):
+def decode_blocks(blocks: list[tuple[int, bytes, bytes]], table, max_bits: int, every: int = CHECKPOINT):
     """The ids of each block of (number of ids, checkpoints, payload), followed from all checkpoints at once."""
     import numpy as np
 
@@ -99,19 +99,23 @@ def decode_blocks(blocks: list[tuple[int, bytes, bytes]], symbols, lengths, max_
         payload.append(np.frombuffer(data, ">u4"))
         base += len(payload[-1])
     words = np.concatenate([*payload, np.zeros(2, ">u4")]).astype(np.uint64)
+    pairs = (words[:-1] << np.uint64(32)) | words[1:]
     at, left = np.concatenate(at), np.concatenate(left)
-    out = np.zeros((len(at), every), np.int64)
-    lane = np.arange(len(at))
+    out = np.zeros((every, len(at)), np.uint32)
+    # Full runs first, so that those that are over leave at the end.
+    order = np.argsort(-left, kind="stable")
+    at, left = at[order], left[order]
+    drop = np.uint64(64 - max_bits)
     for k in range(int(left.max(initial=0))):
-        if k and (left[lane] <= k).any():
-            lane = lane[left[lane] > k]
-        pos = at[lane]
-        word = pos >> 5
-        pair = (words[word] << np.uint64(32)) | words[word + 1]
-        window = (pair << (pos & 31).astype(np.uint64)) >> np.uint64(64 - max_bits)
-        out[lane, k] = symbols[window]
-        at[lane] = pos + lengths[window]
-    flat, first, result = out.reshape(-1), 0, []
+        lanes = int(np.searchsorted(-left, -k))
+        pos = at[:lanes]
+        window = (pairs[pos >> 5] << (pos & 31).astype(np.uint64)) >> drop
+        entry = table[window]
+        out[k, :lanes] = entry >> 8
+        pos += entry & 0xFF
+    flat = np.empty((len(order), every), np.uint32)
+    flat[order] = out.T
+    flat, first, result = flat.reshape(-1), 0, []
     for n, checkpoints, _ in blocks:
         result.append(flat[first : first + n])
         first += len(checkpoints) // 4 * every
@@ -119,17 +123,16 @@ def decode_blocks(blocks: list[tuple[int, bytes, bytes]], symbols, lengths, max_
 
 
 def decode_table(bits: dict[int, int]):
-    """(symbols, lengths, bits of a window): what the next bits of a stream begin with."""
+    """(table, bits of a window): the id that a window begins with, times 256, and the bits of its code."""
     import numpy as np
 
     max_bits = max(bits.values(), default=1)
-    codes, lengths = code_table(bits)
-    symbols, size = np.zeros(1 << max_bits, np.int64), np.zeros(1 << max_bits, np.int64)
+    codes, _ = code_table(bits)
+    table = np.zeros(1 << max_bits, np.int64)
     for i, n in bits.items():
         first = int(codes[i]) << (max_bits - n)
-        symbols[first : first + (1 << (max_bits - n))] = i
-        size[first : first + (1 << (max_bits - n))] = n
-    return symbols, size, max_bits
+        table[first : first + (1 << (max_bits - n))] = i << 8 | n
+    return table, max_bits
 
 
 def token_blocks(docs: DataFrame, tokenizer: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> DataFrame:
@@ -226,14 +229,14 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         import numpy as np
         import pandas as pd
 
-        symbols, sizes, max_bits = decode_table(bits)
+        decoding, max_bits = decode_table(bits)
         for batch in batches:
-            for k in range(0, len(batch), 32):
-                few = batch.iloc[k : k + 32]
+            for k in range(0, len(batch), 128):
+                few = batch.iloc[k : k + 128]
                 blocks = [(int(sum(n)), c, p) for n, c, p in zip(few["lengths"], few["checkpoints"], few["payload"])]
                 rows = []
                 for block, (part, first, doc_ids, lengths) in zip(
-                    decode_blocks(blocks, symbols, sizes, max_bits),
+                    decode_blocks(blocks, decoding, max_bits),
                     zip(few["part"], few["first"], few["doc_ids"], few["lengths"]),
                 ):
                     ends = np.cumsum(np.asarray(lengths, np.int64))

@@ -23,7 +23,7 @@ WORDS_ONLY = f"[^{SPACE}]+"
 BETWEEN = {WITH_SPACES: "\n", WORDS_ONLY: " \x01 "}
 
 MAX_PART = 64
-MAX_CACHE = 250_000
+MAX_CACHE = 300_000
 
 
 def public_path(name: str) -> str:
@@ -54,15 +54,16 @@ class Encoder:
     def _learn(self, parts: list[str]) -> dict[str, bytes]:
         import numpy as np
 
-        mark = self.between.strip(" ")
-        plain = [p for p in parts if mark not in p and p.strip()]
+        plain = [p for p in parts if not p.isspace()]
         ids = np.array(self._whole(self.between.join(plain)), "<u4")
         at = np.flatnonzero(ids == self.border)
-        bounds = [0, *(at + 1).tolist(), len(ids) + 1]
+        if len(at) != max(0, len(plain) - 1):  # a text has the mark itself
+            return {p: np.array(self._whole(p), "<u4").tobytes() for p in parts}
         data = ids.tobytes()
-        found = {p: data[4 * i : 4 * j - 4] for p, i, j in zip(plain, bounds, bounds[1:])}
-        for p in set(parts) - found.keys():
-            found[p] = np.array(self._whole(p), "<u4").tobytes()
+        bounds = zip([0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), len(data)])
+        found = dict(zip(plain, [data[i:j] for i, j in bounds]))
+        if len(plain) < len(parts):
+            found.update((p, np.array(self._whole(p), "<u4").tobytes()) for p in parts if p.isspace())
         return found
 
     def _slice(self, texts: list[str]) -> list[bytes]:
@@ -70,10 +71,10 @@ class Encoder:
         if len(self.young) > MAX_CACHE:
             self.young, self.old = {}, self.young
         known, old = self.young, self.old
-        missing = {p for row in parts for p in row} - known.keys()
-        again = missing & old.keys()
-        known.update((p, old[p]) for p in again)
-        fresh = self._learn(list(missing - again))
+        # Not a difference of sets: that would walk through all that is known.
+        missing = [p for p in set().union(*parts) if p not in known]
+        known.update([(p, old[p]) for p in missing if p in old])
+        fresh = self._learn([p for p in missing if p not in old])
         known.update(fresh)
         out = [b"".join(map(known.__getitem__, row)) for row in parts]
         for p in fresh:
