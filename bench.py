@@ -34,14 +34,14 @@ def main() -> None:
     staged_at, model_at = work_folder(spark, "bench-staging"), work_folder(spark, "bench-model")
     start = time.time()
     for name, df in fx.staging(spark, sf_dir).items():
-        df.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{staged_at}/{name}")
+        write_staging(df, f"{staged_at}/{name}")
     staging_sec = round(time.time() - start, 3)
     st = read_staging(spark, staged_at)
     lines, bid_lines = st["stg_lineas_carteles"], st["stg_lineas_ofertadas"]
     awards, procedures = st["stg_lineas_adjudicadas"], st["stg_procedimientos_adjudicacion"]
 
     def model(table):
-        return read_table(spark, f"{model_at}/{table.name}", table)
+        return read_model(spark, model_at, table)
 
     queries = {
         "full_refresh": lambda: refresh.full_refresh(spark, st, model_at),

@@ -6,6 +6,7 @@ import os
 import sys
 import zipfile
 from collections.abc import Iterator
+from urllib.parse import urlparse
 
 import pyarrow as pa
 import pyarrow.csv as pacsv
@@ -29,7 +30,9 @@ def write_monthly_zips(df: DataFrame, folder: str, member: str, columns: list[st
 
     A retried task writes the same name again and replaces it whole.
     """
-    local = folder.removeprefix("file:")
+    if "://" in folder and not folder.startswith("file:"):
+        raise ValueError(f"{folder}: ZIP archives for the checks are written to a shared file system only")
+    local = urlparse(folder).path
 
     def zip_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -349,3 +349,39 @@ def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         _s("s_suppkey").alias("cedula_proveedor"), F.col("s_name").alias("nombre_proveedor")
     )
+
+
+# --- facts that break their contracts ---------------------------------------------------------------
+
+# Per fact: column, the rows that are changed, and the new value.  The expressions are SQL of both engines; the
+# lines of some numbers get a negative amount, an over-long text, or a reference that leads nowhere.
+PLANTED = {
+    "lineas_carteles": (
+        ("cantidad", "nro_linea = 2", "-cantidad"),
+        ("precio_unitario_estimado", "nro_linea = 3", "-precio_unitario_estimado"),
+        ("monto_total_linea_estimado", "nro_linea = 4", "-monto_total_linea_estimado"),
+        ("monto_estimado_cartel_crc", "nro_linea = 5", "-monto_estimado_cartel_crc"),
+        ("nombre_cartel", "nro_linea = 6", "repeat(nombre_cartel || ' ', 60)"),
+        ("cedula_institucion", "nro_linea = 7", "'N' || cedula_institucion"),
+    ),
+    "lineas_ofertas": (
+        ("cantidad_ofertada", "nro_linea = 2", "-cantidad_ofertada"),
+        ("precio_unitario_ofertado", "nro_linea = 3", "-precio_unitario_ofertado"),
+        ("tipo_moneda", "nro_linea = 4", "repeat(tipo_moneda, 11)"),
+        ("cedula_proveedor", "nro_linea = 5", "'N' || cedula_proveedor"),
+    ),
+    "lineas_adjudicadas": (
+        ("cantidad_adjudicada", "nro_linea = 2", "-cantidad_adjudicada"),
+        ("precio_unitario_adjudicado", "nro_linea = 3", "-precio_unitario_adjudicado"),
+        ("monto_adjudicado_linea", "nro_linea = 4", "-monto_adjudicado_linea"),
+        ("descr_procedimiento", "nro_linea = 5", "repeat(descr_procedimiento || ' ', 40)"),
+        ("cedula_institucion", "nro_linea = 6", "'N' || cedula_institucion"),
+        ("cedula_proveedor", "nro_linea = 7", "'N' || cedula_proveedor"),
+    ),
+}
+
+
+def planted(df: DataFrame, name: str) -> DataFrame:
+    """A fact with the changes of ``PLANTED``."""
+    new = {column: F.expr(f"CASE WHEN {where} THEN {value} ELSE {column} END") for column, where, value in PLANTED[name]}
+    return df.select(*[new[c].cast(t).alias(c) if c in new else F.col(c) for c, t in df.dtypes])

@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+from conformance.fixtures import PLANTED
 from tenderloom.schemas import AWARD_LINES, BID_LINES, BUYERS, CATALOG, STAGING, SUPPLIERS, TENDER_LINES, Table
 from tenderloom.sources.segments import SEGMENTS
 
@@ -394,6 +395,16 @@ _cte(
 )
 
 
+FACTS = (TENDER_LINES, BID_LINES, AWARD_LINES)
+for _fact in FACTS:
+    _new = ", ".join(
+        f"CAST(CASE WHEN {where} THEN {value} ELSE {column} END AS "
+        f"{ {c.name: c.type for c in _fact.columns}[column].replace('string', 'VARCHAR') }) AS {column}"
+        for column, where, value in PLANTED[_fact.name]
+    )
+    _cte(f"planted_{_fact.name}", (_fact.name,), f"SELECT * REPLACE ({_new}) FROM {_fact.name}")
+
+
 def _with(needs: tuple[str, ...] | list[str], body: str) -> str:
     """``body`` behind the CTEs it needs, dependencies first."""
     ordered: list[str] = []
@@ -416,12 +427,12 @@ def _all(name: str, columns: str = "*") -> str:
     return _with((name,), f"SELECT {columns} FROM {name}")
 
 
-def _duplicates(table: Table, keys: tuple[str, ...]) -> str:
+def _duplicates(table: Table, keys: tuple[str, ...], prefix: str = "") -> str:
     present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
     key = ", ".join(keys)
     return f"""
-        SELECT f.*, n_rows FROM {table.name} f
-        JOIN (SELECT {key}, COUNT(*) AS n_rows FROM {table.name} WHERE {present} GROUP BY {key} HAVING COUNT(*) > 1) d
+        SELECT f.*, n_rows FROM {prefix}{table.name} f
+        JOIN (SELECT {key}, COUNT(*) AS n_rows FROM {prefix}{table.name} WHERE {present} GROUP BY {key} HAVING COUNT(*) > 1) d
         USING ({key})
         """
 
@@ -451,26 +462,59 @@ def _orphans(table: Table, i: int, select: str = "f.*") -> str:
     )
 
 
+def _orphan_test(table: Table, i: int, prefix: str = "planted_") -> str:
+    """Whether row f has a complete reference that the parent lacks; facts among the parents are planted too."""
+    fk = table.foreign_keys[i]
+    match = " AND ".join(f"p.{r} = f.{c}" for r, c in zip(fk.ref_columns, fk.columns))
+    parent = f"{prefix}{fk.table}" if fk.table in [t.name for t in FACTS] else fk.table
+    return f"({_present(fk.columns)} AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE {match}))"
+
+
+def _kinds(table: Table) -> str:
+    """How many kinds of rules row f breaks: each key and reference is a kind, and so are not_null, length and check."""
+    tests = [
+        " OR ".join(f"coalesce({broken}, false)" for _, _, broken in rules)
+        for kind in ("not_null", "length", "check")
+        if (rules := _row_rules(table, (kind,)))
+    ]
+    for keys in (table.primary_key, table.unique):
+        if keys:
+            same = " AND ".join(f"d.{k} = f.{k}" for k in keys)
+            tests.append(f"(SELECT COUNT(*) FROM planted_{table.name} d WHERE {same}) > 1")
+    tests += [_orphan_test(table, i) for i in range(len(table.foreign_keys))]
+    return "(" + " + ".join(f"CASE WHEN {t} THEN 1 ELSE 0 END" for t in tests) + ")"
+
+
+def _report_lines(t: Table, prefix: str = "") -> list[str]:
+    """Counts of all rows and of those that break each rule."""
+    name = f"{prefix}{t.name}"
+
+    def line(rule: str, target: str, count: str) -> str:
+        return f"SELECT '{t.name}' AS table_name, '{rule}' AS rule, '{target}' AS target, n_rows FROM ({count})"
+
+    lines = [line("rows", t.name, f"SELECT COUNT(*) AS n_rows FROM {name}")]
+    for rule, target, broken in _row_rules(t):
+        lines.append(line(rule, target, f"SELECT COUNT(*) AS n_rows FROM {name} WHERE {broken}"))
+    for rule, keys in (("primary_key", t.primary_key), ("unique", t.unique)):
+        if keys:
+            count = f"SELECT COUNT(*) AS n_rows FROM ({_duplicates(t, keys, prefix)})"
+            lines.append(line(rule, "+".join(keys), count))
+    for i, fk in enumerate(t.foreign_keys):
+        lines.append(line("foreign_key", fk.name, f"SELECT COUNT(*) AS n_rows FROM {name} f WHERE {_orphan_test(t, i, prefix)}"))
+    return lines
+
+
 def _refresh_summary() -> str:
-    parts = []
-    for t in (SUPPLIERS, BUYERS, CATALOG, TENDER_LINES, BID_LINES, AWARD_LINES):
-        def line(rule: str, target: str, count: str) -> str:
-            return f"SELECT '{t.name}' AS table_name, '{rule}' AS rule, '{target}' AS target, n_rows FROM ({count})"
-
-        parts.append(line("rows", t.name, f"SELECT COUNT(*) AS n_rows FROM {t.name}"))
-        for rule, target, broken in _row_rules(t):
-            parts.append(line(rule, target, f"SELECT COUNT(*) AS n_rows FROM {t.name} WHERE {broken}"))
-        for rule, keys in (("primary_key", t.primary_key), ("unique", t.unique)):
-            if keys:
-                count = f"SELECT COUNT(*) AS n_rows FROM ({_duplicates(t, keys)})"
-                parts.append(line(rule, "+".join(keys), count))
-        for i, fk in enumerate(t.foreign_keys):
-            parts.append(line("foreign_key", fk.name, _orphans(t, i, "COUNT(*) AS n_rows")))
-    body = "SELECT * FROM (" + "\nUNION ALL ".join(parts) + ") WHERE rule = 'rows' OR n_rows > 0"
     tables = (SUPPLIERS, BUYERS, CATALOG, TENDER_LINES, BID_LINES, AWARD_LINES)
+    parts = [line for t in tables for line in _report_lines(t)]
+    body = "SELECT * FROM (" + "\nUNION ALL ".join(parts) + ") WHERE rule = 'rows' OR n_rows > 0"
     return _with([t.name for t in tables], body)
 
 
+def _planted_with(body: str) -> str:
+    return _with([*(f"planted_{t.name}" for t in FACTS), BUYERS.name, SUPPLIERS.name, CATALOG.name], body)
+
+
 def _payload(name: str) -> str:
     return ", ".join(c for c in STAGING[name].names[:-4])
 
@@ -517,6 +561,33 @@ def oracle_sql() -> dict[str, str]:
             JOIN {SUPPLIERS.name} USING (cedula_proveedor)
             GROUP BY ALL ORDER BY monto_total_adjudicado DESC NULLS FIRST""",
         ),
+        "model_awards_by_buyer": _with(
+            (AWARD_LINES.name, BUYERS.name),
+            f"""
+            SELECT nombre_institucion, COUNT(DISTINCT nro_sicop) AS carteles_ganados,
+                   CAST(SUM(monto_adjudicado_linea) AS DECIMAL(38,4)) AS monto_total_adjudicado
+            FROM {AWARD_LINES.name} JOIN {BUYERS.name} USING (cedula_institucion) WHERE cedula_proveedor = '7'
+            GROUP BY ALL ORDER BY monto_total_adjudicado DESC NULLS FIRST""",
+        ),
+        "model_top_buyers": _with(
+            (TENDER_LINES.name, BUYERS.name),
+            f"""
+            SELECT nombre_institucion, COUNT(DISTINCT nro_sicop) AS carteles_publicados
+            FROM {TENDER_LINES.name} JOIN {BUYERS.name} USING (cedula_institucion)
+            WHERE EXTRACT(MONTH FROM fecha_publicacion) = 1 AND EXTRACT(YEAR FROM fecha_publicacion) = 1996
+            GROUP BY ALL ORDER BY carteles_publicados DESC, nombre_institucion LIMIT 20""",
+        ),
+        "upsert_stored": _all(BUYERS.name),
+        "staging_append_twice": _with(
+            ("stg_carteles",),
+            f"""
+            SELECT {_payload('stg_carteles')}, etl_period, '{BATCH}' AS batch_id FROM stg_carteles
+            UNION ALL SELECT {_payload('stg_carteles')}, etl_period, '{BATCH}' FROM stg_carteles""",
+        ),
+        "archive_window_moves": _with(
+            ("stg_lineas_ofertadas",),
+            f"SELECT {_payload('stg_lineas_ofertadas')}, etl_period, '{BATCH}' AS batch_id FROM stg_lineas_ofertadas",
+        ),
         "scalar_text": _with(
             ("stg_lineas_carteles",),
             f"""
@@ -639,21 +710,59 @@ def oracle_sql() -> dict[str, str]:
                 ]
             ),
         ),
-        "length_violations": _with(
-            ("stg_carteles",),
+        "length_violations": _planted_with(
+            _union(
+                [
+                    f"SELECT '{t.name}' AS table_name, nro_sicop, nro_linea, '{c}' AS column_name, "
+                    f"CAST(length({c}) AS INTEGER) AS n_chars, {n} AS max_chars FROM planted_{t.name} WHERE length({c}) > {n}"
+                    for t in FACTS
+                    for c, n in t.lengths.items()
+                ]
+            ),
+        ),
+        "check_nonnegative": _planted_with(
+            _union(
+                [
+                    f"SELECT '{t.name}' AS table_name, nro_sicop, nro_linea, '{target}' AS check_name "
+                    f"FROM planted_{t.name} WHERE {broken}"
+                    for t in FACTS
+                    for _, target, broken in _row_rules(t, ("check",))
+                ]
+            ),
+        ),
+        "fk_orphans": _planted_with(
             _union(
                 [
-                    f"SELECT nro_sicop, '{c}' AS column_name, CAST(length({c}) AS INTEGER) AS n_chars, "
-                    f"{n} AS max_chars FROM stg_carteles WHERE length({c}) > {n}"
-                    for c, n in (("cartel_nm", 500), ("etl_period", 6), ("source_file", 100), ("tipo_procedimiento", 8))
+                    f"SELECT '{t.name}' AS table_name, '{fk.name}' AS reference, nro_sicop, nro_linea, "
+                    f"CAST({fk.columns[0]} AS VARCHAR) AS missing FROM planted_{t.name} f WHERE {_orphan_test(t, i)}"
+                    for t in FACTS
+                    for i, fk in enumerate(t.foreign_keys)
+                    if len(fk.columns) == 1
                 ]
             ),
         ),
-        "check_nonnegative": f"""
-            SELECT {_text('s_suppkey')} AS id, 'balance' AS check_name FROM supplier WHERE s_acctbal < 0
-            UNION ALL SELECT {_text('c_custkey')}, 'balance' FROM customer WHERE c_acctbal < 0""",
-        "fk_orphans": _with(
-            (TENDER_LINES.name, CATALOG.name), _orphans(TENDER_LINES, 0, "nro_sicop, nro_linea, cod_producto")
+        "contract_report": _planted_with(
+            "SELECT * FROM ("
+            + _union([line for t in FACTS for line in _report_lines(t, "planted_")])
+            + ") WHERE rule = 'rows' OR n_rows > 0"
+        ),
+        "quarantine_clean": _planted_with(
+            _union(
+                [
+                    f"SELECT '{t.name}' AS table_name, nro_sicop, nro_linea, cod_producto FROM planted_{t.name} f "
+                    f"WHERE {_kinds(t)} = 0"
+                    for t in FACTS
+                ]
+            ),
+        ),
+        "quarantine_rejects": _planted_with(
+            _union(
+                [
+                    f"SELECT '{t.name}' AS table_name, nro_sicop, nro_linea, cod_producto, {_kinds(t)} AS n_kinds "
+                    f"FROM planted_{t.name} f WHERE {_kinds(t)} > 0"
+                    for t in FACTS
+                ]
+            ),
         ),
         "fk_orphans_composite": _with(
             (AWARD_LINES.name, BID_LINES.name),

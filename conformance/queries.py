@@ -30,7 +30,17 @@ from tenderloom.schemas import (
 from tenderloom.session import work_folder
 from tenderloom.sources.archives import scan_archives
 from tenderloom.sources.csv_files import scan_csv, stamp
-from tenderloom.sources.tables import last_n_periods, read_table, write_staging, write_table
+from tenderloom.sources.tables import (
+    last_n_periods,
+    publish,
+    read_model,
+    read_staging_table,
+    read_table,
+    run_folder,
+    upsert_table,
+    write_staging,
+    write_table,
+)
 from tenderloom.streaming.staging_stream import append_archives, append_staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +74,36 @@ def model_supplier_buyer_ranking(spark, sf_dir):
     )
 
 
+def _refreshed(spark, sf_dir, *tables: Table):
+    """Published tables of a full refresh."""
+    target = work_folder(spark, "model")
+    refresh.full_refresh(spark, fx.staging(spark, sf_dir), target)
+    return [read_model(spark, target, table) for table in tables]
+
+
+def model_awards_by_buyer(spark, sf_dir):
+    """The question of awards_by_buyer_for_supplier, asked of a refreshed model."""
+    return reports.awards_by_buyer_for_supplier(*_refreshed(spark, sf_dir, AWARD_LINES, BUYERS), "7")
+
+
+def model_top_buyers(spark, sf_dir):
+    """The question of top_buyers_by_month, asked of a refreshed model."""
+    return reports.top_buyers_by_month(*_refreshed(spark, sf_dir, TENDER_LINES, BUYERS), 1996, 1)
+
+
+def upsert_stored(spark, sf_dir):
+    """Buyers as first registered, published; those that came back later are upserted, the second time in vain."""
+    target = work_folder(spark, "model")
+    staged = fx.stg_instituciones(spark, sf_dir)
+    first = dimensions.buyer_dimension(staged.where("loaded_at < timestamp_ntz'2024-03-01'"))
+    write_table(first, run_folder(target, "first", BUYERS.name))
+    publish(spark, target, "first", [BUYERS.name])
+    for _ in range(2):
+        newer = dimensions.buyer_dimension(staged.where("loaded_at >= timestamp_ntz'2024-03-01'"))
+        upsert_table(spark, target, BUYERS, newer)
+    return read_model(spark, target, BUYERS)
+
+
 # --- functions ------------------------------------------------------------------------------------
 
 
@@ -303,27 +343,54 @@ def not_null_violations(spark, sf_dir):
     return awards.unionByName(tenders)
 
 
+def _planted_facts(spark, sf_dir) -> dict[str, DataFrame]:
+    """The three facts with broken rows of every kind, and the dimensions they refer to, all written."""
+    facts_ = {
+        TENDER_LINES: build_tender_lines, BID_LINES: build_bid_lines, AWARD_LINES: build_award_lines,
+    }
+    tables = {t: fx.planted(build(spark, sf_dir), t.name) for t, build in facts_.items()}
+    tables[BUYERS], tables[SUPPLIERS] = build_buyer_dim(spark, sf_dir), build_supplier_dim(spark, sf_dir)
+    tables[CATALOG] = build_product_catalog(spark, sf_dir)
+    return {t.name: _written(spark, df, t) for t, df in tables.items()}
+
+
+def _per_fact(spark, sf_dir, report) -> DataFrame:
+    """A report over each planted fact, with the name of the fact."""
+    parts = []
+    for table in (TENDER_LINES, BID_LINES, AWARD_LINES):
+        build = {TENDER_LINES: build_tender_lines, BID_LINES: build_bid_lines, AWARD_LINES: build_award_lines}[table]
+        found = report(fx.planted(build(spark, sf_dir), table.name), table, ("nro_sicop", "nro_linea"))
+        parts.append(found.select(F.lit(table.name).alias("table_name"), "*"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def length_violations(spark, sf_dir):
-    limits = {"cartel_nm": 500, "etl_period": 6, "source_file": 100, "tipo_procedimiento": 8}
-    table = Table("stg_carteles", tuple(Column(c, "string", n) for c, n in limits.items()))
-    return quality.length_violations(fx.stg_carteles(spark, sf_dir), table, ("nro_sicop",))
+    return _per_fact(spark, sf_dir, quality.length_violations)
 
 
 def check_nonnegative(spark, sf_dir):
-    table = Table("balances", (), nonnegative=(("balance", ("balance",)),))
-    rows = [
-        fx.table(spark, sf_dir, name).select(F.col(key).cast("string").alias("id"), F.col(value).alias("balance"))
-        for name, key, value in (("supplier", "s_suppkey", "s_acctbal"), ("customer", "c_custkey", "c_acctbal"))
-    ]
-    return quality.check_violations(rows[0].unionByName(rows[1]), table, ("id",))
+    return _per_fact(spark, sf_dir, quality.check_violations)
 
 
 def fk_orphans(spark, sf_dir):
-    """Tender lines whose product code is not in the catalog: codes of 15 digits."""
-    lines = _written(spark, build_tender_lines(spark, sf_dir), TENDER_LINES)
-    products = _written(spark, build_product_catalog(spark, sf_dir), CATALOG)
-    lines = lines.select("nro_sicop", "nro_linea", "cod_producto")
-    return quality.orphan_rows(lines, ["cod_producto"], products, ["cod_producto"])
+    """Lines without their product, buyer or supplier, by every reference of one column that the facts declare."""
+    tables, parts = _planted_facts(spark, sf_dir), []
+    for table in (TENDER_LINES, BID_LINES, AWARD_LINES):
+        for fk in table.foreign_keys:
+            if len(fk.columns) > 1:
+                continue
+            rows = tables[table.name].select("nro_sicop", "nro_linea", *fk.columns)
+            orphans = quality.orphan_rows(rows, fk.columns, tables[fk.table], fk.ref_columns)
+            parts.append(
+                orphans.select(
+                    F.lit(table.name).alias("table_name"), F.lit(fk.name).alias("reference"), "nro_sicop", "nro_linea",
+                    F.col(fk.columns[0]).cast("string").alias("missing"),
+                )
+            )
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
 
 
 def fk_orphans_composite(spark, sf_dir):
@@ -333,6 +400,39 @@ def fk_orphans_composite(spark, sf_dir):
     return quality.orphan_rows(lines, key, _written(spark, build_bid_lines(spark, sf_dir), BID_LINES), key)
 
 
+def contract_report(spark, sf_dir):
+    """Every rule of the three facts, counted on the planted ones: one line per rule that is broken."""
+    tables = _planted_facts(spark, sf_dir)
+    parts = [
+        quality.violation_counts(tables[t.name], t, tables, with_rows=True) for t in (TENDER_LINES, BID_LINES, AWARD_LINES)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _split(spark, sf_dir) -> list[tuple[Table, DataFrame, DataFrame]]:
+    tables = _planted_facts(spark, sf_dir)
+    return [(t, *quality.split_by_contract(tables[t.name], t, tables)) for t in (TENDER_LINES, BID_LINES, AWARD_LINES)]
+
+
+def _lines_of(parts, *more) -> DataFrame:
+    found = None
+    for table, df in parts:
+        rows = df.select(F.lit(table.name).alias("table_name"), "nro_sicop", "nro_linea", "cod_producto", *more)
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def quarantine_clean(spark, sf_dir):
+    """Planted fact lines that keep every rule of their contract."""
+    return _lines_of((t, clean) for t, clean, _ in _split(spark, sf_dir))
+
+
+def quarantine_rejects(spark, sf_dir):
+    """Planted fact lines that break a rule, with the number of different kinds of rules."""
+    kinds = F.size("broken_rules").alias("n_kinds")
+    return _lines_of(((t, rejected) for t, _, rejected in _split(spark, sf_dir)), kinds)
+
+
 def full_refresh_summary(spark, sf_dir):
     return refresh.full_refresh(spark, fx.staging(spark, sf_dir), work_folder(spark, "model"))
 
@@ -347,8 +447,8 @@ def _payload(name: str) -> list[str]:
 def last_periods(spark, sf_dir):
     """Staging written partitioned by period, then the last seven periods up to December 1998."""
     folder = work_folder(spark, "staging")
-    write_staging(fx.stg_lineas_carteles(spark, sf_dir), folder, "nro_sicop")
-    staged = spark.read.schema(STAGING["stg_lineas_carteles"].struct()).parquet(folder)
+    write_staging(fx.stg_lineas_carteles(spark, sf_dir), folder)
+    staged = read_staging_table(spark, folder, "stg_lineas_carteles")
     return last_n_periods(staged, dt.date(1998, 12, 31)).select(*_payload("stg_lineas_carteles"), "etl_period")
 
 
@@ -385,7 +485,7 @@ def staging_append_stream(spark, sf_dir):
         batch_id=fx.BATCH,
         period_pattern=r"etl_period=(\d{6})",
     )
-    staged = spark.read.schema(STAGING["stg_carteles"].struct()).parquet(target)
+    staged = read_staging_table(spark, target, "stg_carteles")
     return staged.select(*columns, "etl_period", "batch_id")
 
 
@@ -413,8 +513,36 @@ def archive_append_stream(spark, sf_dir):
         batch_id=fx.BATCH,
         period_pattern=r"/(\d{6})-\d{5}\.zip",
     )
-    staged = spark.read.schema(STAGING[table].struct()).parquet(f"{staging}/{table}")
-    return staged.select(*columns, "etl_period", "batch_id")
+    return read_staging_table(spark, f"{staging}/{table}", table).select(*columns, "etl_period", "batch_id")
+
+
+def staging_append_twice(spark, sf_dir):
+    """Tender headers of even and odd months from two sources with a manifest each, and all of them written once more."""
+    target, name = work_folder(spark, "staging"), "stg_carteles"
+    columns, rows = _payload(name), fx.stg_carteles(spark, sf_dir)
+    for odd in (0, 1):
+        source = work_folder(spark, "csv")
+        files.write_monthly_csv(rows.where(F.col("etl_period").cast("int") % 2 == odd).select(*columns, "etl_period"), source)
+        for _ in range(2):  # the second load finds nothing new
+            append_staging(
+                spark, f"{source}/*", target, f"{target}-manifest-{odd}", columns, columns,
+                batch_id=fx.BATCH, period_pattern=r"etl_period=(\d{6})", files_per_batch=50,
+            )
+    write_staging(rows, target)
+    return read_staging_table(spark, target, name).select(*columns, "etl_period", "batch_id")
+
+
+def archive_window_moves(spark, sf_dir):
+    """One manifest, three windows: December 1998 back, then June 1998 back (nothing new), then all months."""
+    table, member, folder = "stg_lineas_ofertadas", "LineasOfertadas.csv", work_folder(spark, "zip")
+    columns, staging, manifest = _payload(table), work_folder(spark, "staging"), work_folder(spark, "manifest")
+    files.write_monthly_zips(fx.stg_lineas_ofertadas(spark, sf_dir), folder, member, columns)
+    for as_of, months in ((dt.date(1998, 12, 31), 7), (dt.date(1998, 12, 31), 3), (dt.date(1998, 6, 30), 12), (None, 0)):
+        append_archives(
+            spark, folder, staging, manifest, {member: table}, as_of=as_of, months=months,
+            batch_id=fx.BATCH, period_pattern=r"/(\d{6})-\d{5}\.zip",
+        )
+    return read_staging_table(spark, f"{staging}/{table}", table).select(*columns, "etl_period", "batch_id")
 
 
 QUERIES: dict[str, Query] = {
@@ -422,6 +550,8 @@ QUERIES: dict[str, Query] = {
     "awards_by_buyer_for_supplier": awards_by_buyer_for_supplier,
     "top_buyers_by_month": top_buyers_by_month,
     "model_supplier_buyer_ranking": model_supplier_buyer_ranking,
+    "model_awards_by_buyer": model_awards_by_buyer,
+    "model_top_buyers": model_top_buyers,
     "scalar_text": scalar_text,
     "composite_key": composite_key,
     "geo_split": geo_split,
@@ -440,6 +570,7 @@ QUERIES: dict[str, Query] = {
     "latest_supplier_dim": latest_supplier_dim,
     "latest_buyer_dim": latest_buyer_dim,
     "upsert_latest": upsert,
+    "upsert_stored": upsert_stored,
     "product_codes_union": product_codes_union,
     "valid_product_codes": valid_product_codes,
     "distinct_product_codes": distinct_product_codes,
@@ -459,11 +590,16 @@ QUERIES: dict[str, Query] = {
     "check_nonnegative": check_nonnegative,
     "fk_orphans": fk_orphans,
     "fk_orphans_composite": fk_orphans_composite,
+    "contract_report": contract_report,
+    "quarantine_clean": quarantine_clean,
+    "quarantine_rejects": quarantine_rejects,
     "last_n_periods": last_periods,
     "csv_staging_scan": csv_staging_scan,
     "stamp_metadata": stamp_metadata,
     "staging_append_stream": staging_append_stream,
     "archive_ingest": archive_ingest,
     "archive_append_stream": archive_append_stream,
+    "staging_append_twice": staging_append_twice,
+    "archive_window_moves": archive_window_moves,
     "full_refresh_summary": full_refresh_summary,
 }

@@ -26,7 +26,9 @@ from tenderloom.sources.csv_files import PERIOD_IN_PATH, period_of, technical_co
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_BYTES = 4 << 20
-BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+MAX_BLOCK_BYTES = 1 << 30
+# Schemes that the reader opens in place; others are refused when the load is planned.
+SCHEMES = ("", "file", "s3", "s3a", "gs", "gcs", "hdfs", "viewfs")
 
 
 def _open(uri: str) -> pa.NativeFile:
@@ -37,14 +39,17 @@ def _open(uri: str) -> pa.NativeFile:
     return filesystem.open_input_file(path)
 
 
-def _member_batches(uri: str, member: str, columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
+def _member_batches(
+    uri: str, member: str, columns: Sequence[str], sep: str = ",", encoding: str = "UTF-8"
+) -> Iterator[pa.RecordBatch]:
     """Configured columns of one member, as text; an archive without the member gives nothing."""
+    text = "utf-8-sig" if encoding.lower().replace("-", "") == "utf8" else encoding
     with _open(uri) as raw, zipfile.ZipFile(raw) as archive:
         for name in archive.namelist():
             if name.rsplit("/", 1)[-1].lower() != member.lower():
                 continue
             with archive.open(name) as stream:
-                header = next(csv.reader(codecs.getreader("utf-8-sig")(stream)), None)
+                header = next(csv.reader(codecs.getreader(text)(stream), delimiter=sep), None)
             if header is None:
                 continue
             header = [h.strip().lower() for h in header]
@@ -52,46 +57,57 @@ def _member_batches(uri: str, member: str, columns: Sequence[str]) -> Iterator[p
             missing = sorted(set(wanted) - set(header))
             if missing:
                 raise ValueError(f"{uri}!{name}: columns {missing} are not in the header")
-            with archive.open(name) as stream:
-                yield from _parse(stream, header, wanted, columns)
-
-
-def _parse(stream, header, wanted, columns) -> Iterator[pa.RecordBatch]:
-    try:
-        reader = pacsv.open_csv(
-            pa.PythonFile(stream, mode="r"),
-            read_options=pacsv.ReadOptions(
-                block_size=BLOCK_BYTES, column_names=header, skip_rows=1, use_threads=False
-            ),
-            parse_options=pacsv.ParseOptions(newlines_in_values=True),
-            convert_options=pacsv.ConvertOptions(
-                column_types={c: pa.string() for c in header},
-                include_columns=wanted,
-                null_values=[""],
-                strings_can_be_null=True,
-                quoted_strings_can_be_null=False,
-            ),
-        )
-    except pa.ArrowInvalid as error:
-        if "Empty CSV" in str(error):  # a member with a header and no rows
+            yield from _parse(lambda: archive.open(name), header, wanted, columns, sep, encoding)
+
+
+def _parse(open_stream, header, wanted, columns, sep, encoding) -> Iterator[pa.RecordBatch]:
+    """Blocks of rows.  A row that does not fit into a block is read again with larger ones, after the rows given."""
+    block, given = BLOCK_BYTES, 0
+    while True:
+        skip = given
+        try:
+            with open_stream() as stream:
+                for batch in _blocks(stream, header, wanted, sep, encoding, block):
+                    fresh = batch.slice(min(skip, batch.num_rows))
+                    skip -= batch.num_rows - fresh.num_rows
+                    given += fresh.num_rows
+                    if fresh.num_rows:
+                        yield pa.RecordBatch.from_arrays(fresh.columns, names=list(columns))
             return
-        raise
-    for batch in reader:
-        yield pa.RecordBatch.from_arrays(batch.columns, names=list(columns))
-
-
-def list_archives(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
-    """Paths of the ZIP files under ``folder``; their content is not read."""
-    reader = spark.readStream.schema(BINARY_FILE) if streaming else spark.read
-    return (
-        reader.format("binaryFile")
-        .option("pathGlobFilter", "*.zip")
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-        .select("path")
+        except pa.ArrowInvalid as error:
+            if "Empty CSV" in str(error):  # a member with a header and no rows
+                return
+            if "straddling" not in str(error) or block >= MAX_BLOCK_BYTES:
+                raise
+            block *= 4
+
+
+def _blocks(stream, header, wanted, sep, encoding, block) -> Iterator[pa.RecordBatch]:
+    return pacsv.open_csv(
+        pa.PythonFile(stream, mode="r"),
+        read_options=pacsv.ReadOptions(
+            block_size=block, column_names=header, skip_rows=1, use_threads=False, encoding=encoding
+        ),
+        parse_options=pacsv.ParseOptions(newlines_in_values=True, delimiter=sep),
+        convert_options=pacsv.ConvertOptions(
+            column_types={c: pa.string() for c in header},
+            include_columns=wanted,
+            null_values=[""],
+            strings_can_be_null=True,
+            quoted_strings_can_be_null=False,
+        ),
     )
 
 
+def list_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """Path, length and modification time of the ZIP files under ``folder``; their content is not read."""
+    scheme = urlparse(folder).scheme
+    if scheme not in SCHEMES:
+        raise ValueError(f"archives are opened in place, which {scheme}:// does not allow here; use one of {SCHEMES}")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true")
+    return files.load(folder).select("path", "length", F.col("modificationTime").alias("modified"))
+
+
 def read_members(
     archives: DataFrame,
     member: str,
@@ -99,6 +115,8 @@ def read_members(
     batch_id: str,
     period: str | None = None,
     period_pattern: str = PERIOD_IN_PATH,
+    sep: str = ",",
+    encoding: str = "UTF-8",
 ) -> DataFrame:
     """Rows of ``member`` in every listed archive, stamped like a CSV load."""
     out_columns = [*columns, "archive"]
@@ -106,7 +124,7 @@ def read_members(
     def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for uri in batch.column("path").to_pylist():
-                for rows in _member_batches(uri, member, columns):
+                for rows in _member_batches(uri, member, columns, sep, encoding):
                     archive = pa.repeat(pa.scalar(uri, pa.string()), rows.num_rows)
                     yield pa.RecordBatch.from_arrays([*rows.columns, archive], names=out_columns)
 
@@ -123,6 +141,8 @@ def scan_archives(
     batch_id: str,
     period: str | None = None,
     period_pattern: str = PERIOD_IN_PATH,
+    **options,
 ) -> DataFrame:
-    """Rows of ``member`` in every ZIP under ``folder``."""
-    return read_members(list_archives(spark, folder), member, columns, batch_id, period, period_pattern)
+    """Rows of ``member`` in every ZIP under ``folder``; ``options`` are the dialect (sep, encoding)."""
+    archives = list_archives(spark, folder)
+    return read_members(archives, member, columns, batch_id, period, period_pattern, **options)

@@ -1,35 +1,52 @@
-"""Parquet tables: staging history in, contract-shaped model tables out."""
+"""Parquet tables: staging history in, contract-shaped model tables out.
+
+A staging table is a folder of loads, each partitioned by period.  A model is a folder of runs and a table that
+says which run each model table is published from; a run is published when all of it is written and checked, so
+readers never see a part of one.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderloom.functions.calendar import in_last_periods
+from tenderloom.operators.latest import upsert_latest
 from tenderloom.schemas import STAGING, Table
 
+PUBLISHED = "table_name string, run string, number long"
 
-def read_staging(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The eight staging tables under ``root``, one folder each, partitioned by ``etl_period``.
 
-    The schema is declared, so a period stays text and nothing is inferred.
-    """
-    return {
-        name: spark.read.schema(table.struct()).parquet(f"{root}/{name}") for name, table in STAGING.items()
-    }
+def load_folder(path: str, load_id: str) -> str:
+    """Where one load of a staging table lies."""
+    return f"{path.rstrip('/')}/load={load_id}"
+
+
+def read_staging_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """All loads of a staging table.  The schema is declared, so a period stays text and nothing is inferred."""
+    table = STAGING[name]
+    return spark.read.schema(table.struct()).parquet(path).select(*table.names)
+
+
+def read_staging(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The eight staging tables under ``root``, one folder each."""
+    return {name: read_staging_table(spark, f"{root}/{name}", name) for name in STAGING}
 
 
-def write_staging(df: DataFrame, path: str, spread_by: str) -> None:
-    """Append rows to a staging folder partitioned by ``etl_period``.
+def write_staging(df: DataFrame, path: str, load_id: str | None = None) -> str:
+    """Add rows to a staging folder as a load of its own; returns its id.  The same id replaces its load.
 
-    Rows are range-partitioned by period and ``spread_by``: a task writes few periods, and a period
-    that holds a large part of the rows is written by many tasks.
+    Rows are dealt out by period, and the runtime splits a period that holds a large part of them over many
+    tasks by the size of what was shuffled, without reading the input a second time.
     """
-    spread = df.repartitionByRange("etl_period", spread_by)
-    spread.write.mode("append").partitionBy("etl_period").parquet(path)
+    load_id = load_id or str(uuid.uuid4())
+    spread = df.hint("rebalance", "etl_period")
+    spread.write.mode("overwrite").partitionBy("etl_period").parquet(load_folder(path, load_id))
+    return load_id
 
 
 def last_n_periods(df: DataFrame, as_of: dt.date, months: int = 7) -> DataFrame:
@@ -59,3 +76,53 @@ def write_table(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
 
 def read_table(spark: SparkSession, path: str, table: Table) -> DataFrame:
     return spark.read.schema(table.struct()).parquet(path)
+
+
+# --- published runs of a model --------------------------------------------------------------------
+
+
+def run_folder(target: str, run: str, name: str) -> str:
+    return f"{target.rstrip('/')}/run={run}/{name}"
+
+
+def _published(spark: SparkSession, target: str) -> DataFrame:
+    path = f"{target.rstrip('/')}/published"
+    spark.createDataFrame([], PUBLISHED).coalesce(1).write.mode("ignore").parquet(path)
+    return spark.read.schema(PUBLISHED).parquet(path)
+
+
+def publish(spark: SparkSession, target: str, run: str, names: Sequence[str]) -> None:
+    """Make readers of these tables read this run, all at once: one small file says so."""
+    last = _published(spark, target).agg(F.coalesce(F.max("number"), F.lit(0)).alias("n")).first().n
+    rows = spark.createDataFrame([(name, run, last + 1) for name in names], PUBLISHED)
+    rows.coalesce(1).write.mode("append").parquet(f"{target.rstrip('/')}/published")
+
+
+def read_published(spark: SparkSession, target: str, name: str) -> str:
+    """The folder that a name is published from.  Earlier runs stay until someone deletes their folders."""
+    rows = _published(spark, target).where(F.col("table_name") == name)
+    run = rows.agg(F.max_by("run", "number").alias("run")).first().run
+    if run is None:
+        raise ValueError(f"{target}: no run of {name} is published")
+    return run_folder(target, run, name)
+
+
+def read_model(spark: SparkSession, target: str, table: Table) -> DataFrame:
+    """The published version of a model table."""
+    return read_table(spark, read_published(spark, target, table.name), table)
+
+
+def upsert_table(spark: SparkSession, target: str, table: Table, incoming: DataFrame) -> str:
+    """Rows of a published table replaced or joined by ``incoming``, stored and published as a new run.
+
+    An incoming row takes the place of the one with its primary key; of several incoming ones the first in
+    the order of their columns does.  The old run is read while the new one is written, so nothing is overwritten,
+    and applying the same rows again changes nothing.
+    """
+    old = read_model(spark, target, table).withColumn("_new", F.lit(0))
+    new = to_contract(incoming, table).withColumn("_new", F.lit(1))
+    run = str(uuid.uuid4())
+    merged = upsert_latest(old, new, table.primary_key, ("_new",)).drop("_new")
+    write_table(merged, run_folder(target, run, table.name))
+    publish(spark, target, run, [table.name])
+    return run

@@ -1,15 +1,19 @@
 """Incremental load of CSV files and ZIP archives into the staging history.
 
-Files are taken in paced micro-batches until none is left.  The checkpoint and the commit log of the
-Parquet sink make a restarted or repeated load add every file exactly once, which matters because
-description frequencies count the whole history.  Staging folders are partitioned by period.
+A manifest beside the staging table says which files were loaded, by path, size and modification time.  A load
+lists its source, leaves out what the manifest has, and takes the rest in batches.  A batch is first recorded as
+planned, with the id of its own folder in the staging table; then it is written to that folder, replacing whatever
+an interrupted try left there; then it is recorded as done.  So a file is loaded once, whenever and from wherever it
+arrives: back-filled files with old time stamps, files that come into a window later, files published again under
+their name, and several manifests or ``write_staging`` on one table all add their rows, and an interrupted load
+adds nothing twice.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,17 +29,59 @@ from tenderloom.sources.csv_files import (
     stamp,
     text_schema,
 )
+from tenderloom.sources.tables import load_folder
 
+FILES = "path string, length long, modified timestamp, load_id string"
+DONE = "load_id string"
+IDENTITY = ["path", "length", "modified"]
+FILES_PER_BATCH = 1000
 
-def _append(rows: DataFrame, target: str, checkpoint: str) -> None:
-    query = (
-        rows.writeStream.format("parquet")
-        .partitionBy("etl_period")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(target)
-    )
-    query.awaitTermination()
+
+def _record(spark: SparkSession, manifest: str, kind: str, rows: list[tuple], schema: str) -> None:
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{manifest}/{kind}")
+
+
+def _recorded(spark: SparkSession, manifest: str, kind: str, schema: str) -> DataFrame:
+    """Rows of one part of the manifest, which is made empty at its first use."""
+    spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").parquet(f"{manifest}/{kind}")
+    return spark.read.schema(schema).parquet(f"{manifest}/{kind}")
+
+
+def _append(
+    spark: SparkSession,
+    listed: DataFrame,
+    wanted: DataFrame,
+    target: str,
+    manifest: str,
+    rows_of: Callable[[list[str]], DataFrame],
+    files_per_batch: int,
+) -> None:
+    """Load the ``wanted`` files that are new, and those of batches that were planned but not done.
+
+    The files of a load are known to the driver by their listing; their rows never pass it.
+    """
+    known = _recorded(spark, manifest, "files", FILES)
+    done = _recorded(spark, manifest, "done", DONE)
+    # A planned file that has changed since is a new file.
+    open_ = known.join(done, "load_id", "left_anti").join(listed, IDENTITY, "left_semi")
+    batches: dict[str, list[str]] = {}
+    for r in open_.orderBy("load_id", "path").collect():
+        batches.setdefault(r.load_id, []).append(r.path)
+    new = wanted.join(known, IDENTITY, "left_anti").orderBy("path").collect()
+    for first in range(0, len(new), files_per_batch):
+        files, load_id = new[first : first + files_per_batch], str(uuid.uuid4())
+        _record(spark, manifest, "files", [(*(r[c] for c in IDENTITY), load_id) for r in files], FILES)
+        batches[load_id] = [r.path for r in files]
+    for load_id, paths in batches.items():
+        rows = rows_of(paths)
+        rows.write.mode("overwrite").partitionBy("etl_period").parquet(load_folder(target, load_id))
+        _record(spark, manifest, "done", [(load_id,)], DONE)
+
+
+def _listed(spark: SparkSession, source: str) -> DataFrame:
+    """Identities of the CSV files that ``source`` matches; their content is not read."""
+    files = spark.read.format("binaryFile").load(source)
+    return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
 def append_staging(
@@ -48,22 +94,21 @@ def append_staging(
     batch_id: str | None = None,
     period: str | None = None,
     period_pattern: str = PERIOD_IN_PATH,
-    files_per_batch: int = 1000,
+    files_per_batch: int = FILES_PER_BATCH,
     **options,
 ) -> str:
-    """Append the CSV files of ``source`` that were not loaded before; returns the batch id.
+    """Append the CSV files of ``source`` that ``checkpoint``, the manifest, lacks; returns the batch id.
 
     ``source`` may be a glob over sub-folders.
     """
     batch_id = batch_id or str(uuid.uuid4())
-    files = (
-        spark.readStream.schema(text_schema(header))
-        .options(**csv_options(**options))
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(source)
-    )
-    rows = stamp(files.select(*match_columns(header, columns)), batch_id, period, period_pattern)
-    _append(rows, target, checkpoint)
+
+    def rows_of(paths: list[str]) -> DataFrame:
+        files = spark.read.schema(text_schema(header)).options(**csv_options(**options)).csv(paths)
+        return stamp(files.select(*match_columns(header, columns)), batch_id, period, period_pattern)
+
+    listed = _listed(spark, source)
+    _append(spark, listed, listed, target, checkpoint, rows_of, files_per_batch)
     return batch_id
 
 
@@ -77,20 +122,30 @@ def append_archives(
     months: int = 7,
     batch_id: str | None = None,
     period_pattern: str = PERIOD_IN_PATH,
+    files_per_batch: int = FILES_PER_BATCH,
+    **options,
 ) -> str:
     """Append the monthly archives of ``folder`` that were not loaded before to their staging tables.
 
-    ``members`` maps a CSV member to its staging table.  With ``as_of``, only archives of the last
-    ``months`` periods are opened; an older one counts as seen.  All tables of a load share one batch
-    id, which is returned.
+    ``members`` maps a CSV member to its staging table.  With ``as_of``, only archives of the ``months`` periods up
+    to it are loaded and recorded; older and newer ones wait for a load whose window has them.  All tables
+    of a load share one batch id, which is returned.  ``options`` are the dialect (sep, encoding).
     """
     batch_id = batch_id or str(uuid.uuid4())
     technical = {c.name for c in TECHNICAL}
     for member, table in members.items():
-        archives = list_archives(spark, folder, streaming=True)
+        listed = list_archives(spark, folder)
+        wanted = listed
         if as_of is not None:
-            archives = archives.where(in_last_periods(period_of(F.col("path"), period_pattern), as_of, months))
+            wanted = listed.where(in_last_periods(period_of(F.col("path"), period_pattern), as_of, months))
         columns = [c for c in STAGING[table].names if c not in technical]
-        rows = read_members(archives, member, columns, batch_id, period_pattern=period_pattern)
-        _append(rows, f"{staging_root}/{table}", f"{checkpoint_root}/{table}")
+
+        def rows_of(paths: list[str], member=member, columns=columns) -> DataFrame:
+            # One archive is one task's work, since a compressed member cannot be split.
+            archives = spark.createDataFrame([(p,) for p in paths], "path string").repartition(len(paths), "path")
+            return read_members(archives, member, columns, batch_id, period_pattern=period_pattern, **options)
+
+        _append(
+            spark, listed, wanted, f"{staging_root}/{table}", f"{checkpoint_root}/{table}", rows_of, files_per_batch
+        )
     return batch_id

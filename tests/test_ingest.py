@@ -15,6 +15,7 @@ from tenderloom.sources.csv_files import period_of, scan_csv, stamp
 from tenderloom.sources.tables import (
     last_n_periods,
     read_staging,
+    read_staging_table,
     read_table,
     to_contract,
     write_staging,
@@ -105,9 +106,83 @@ def test_incremental_load_takes_every_file_once(spark, month, tmp_path):
     second = load(spark, root, target, checkpoint)
     assert len(rows()) == 4 and first != second
     assert {r.etl_period: r.batch_id for r in rows()} == {"202601": first, "202602": first, "202603": second}
-    # A new checkpoint is a new load: the history keeps the copies.
-    load(spark, root, target + "_again", str(tmp_path / "offsets2"))
-    assert spark.read.parquet(target + "_again").count() == 4
+    # A new manifest is a new load into the same table: the history keeps the copies.
+    load(spark, root, target, str(tmp_path / "offsets2"))
+    assert len(rows()) == 8
+
+
+def history(spark, target):
+    return sorted(r.nro_sicop for r in read_staging_table(spark, target, "stg_ofertas").collect())
+
+
+def test_back_filled_files_with_old_time_stamps_are_loaded(spark, month, tmp_path):
+    target, manifest = str(tmp_path / "stg_ofertas"), str(tmp_path / "manifest")
+    root = month("202602", "S2,x,O2,P1,f,t\n")
+    load(spark, root, target, manifest)
+    month("202601", "S1,x,O1,P1,f,t\n")
+    long_ago = 1_500_000_000
+    os.utime(tmp_path / "csv" / "202601" / "Ofertas.csv", (long_ago, long_ago))
+    load(spark, root, target, manifest)
+    assert history(spark, target) == ["S1", "S2"]
+
+
+def test_csv_archives_and_batches_share_a_table(spark, staged, month, tmp_path):
+    staging = str(tmp_path / "staging")
+    target = f"{staging}/stg_ofertas"
+    load(spark, month("202601", "S1,x,O1,P1,f,t\n"), target, str(tmp_path / "m1"))
+    write_zip(f"{tmp_path}/zips/datos_202602.zip", {"Ofertas.csv": HEADER + "S2,x,O1,P,f,t\n"})
+    append_archives(spark, f"{tmp_path}/zips", staging, str(tmp_path / "m2"), {"Ofertas.csv": "stg_ofertas"})
+    write_staging(staged("stg_ofertas", [{"nro_sicop": "S3", "etl_period": "202603"}]), target)
+    load(spark, month("202604", "S4,x,O1,P1,f,t\n"), target, str(tmp_path / "m1"))
+    assert history(spark, target) == ["S1", "S2", "S3", "S4"]
+
+
+def test_a_republished_file_is_loaded_again(spark, month, tmp_path):
+    target, manifest = str(tmp_path / "stg_ofertas"), str(tmp_path / "manifest")
+    root = month("202601", "S1,x,O1,P1,f,t\n")
+    load(spark, root, target, manifest)
+    month("202601", "S1,x,O1,P1,f,t\nS2,x,O1,P1,f,t\n")
+    load(spark, root, target, manifest)
+    load(spark, root, target, manifest)
+    assert history(spark, target) == ["S1", "S1", "S2"]
+
+
+def test_windows_that_move_and_widen(spark, tmp_path):
+    root, staging, manifest = (str(tmp_path / n) for n in ("zips", "staging", "manifest"))
+    for k, period in enumerate(("202501", "202601", "202602")):
+        write_zip(f"{root}/datos_{period}.zip", {"Ofertas.csv": HEADER + f"S{k},x,O1,P,f,t\n"})
+
+    def after(as_of):
+        append_archives(spark, root, staging, manifest, {"Ofertas.csv": "stg_ofertas"}, as_of=as_of)
+        return history(spark, f"{staging}/stg_ofertas")
+
+    assert after(dt.date(2026, 1, 31)) == ["S1"]
+    assert after(dt.date(2026, 2, 28)) == ["S1", "S2"]
+    assert after(None) == ["S0", "S1", "S2"]
+    assert after(dt.date(2026, 2, 28)) == ["S0", "S1", "S2"]
+
+
+def test_interrupted_loads_add_no_copy(spark, month, tmp_path, monkeypatch):
+    """A load that stops after it wrote, or half-way, is taken up under the same id."""
+    from tenderloom.streaming import staging_stream
+
+    target, manifest = str(tmp_path / "stg_ofertas"), str(tmp_path / "manifest")
+    month("202601", "S1,x,O1,P1,f,t\n")
+    root = month("202602", "S2,x,O2,P1,f,t\n")
+    record = staging_stream._record
+
+    def stop(spark_, folder, kind, rows, schema):
+        if kind == "done":
+            raise RuntimeError("stopped")
+        record(spark_, folder, kind, rows, schema)
+
+    monkeypatch.setattr(staging_stream, "_record", stop)
+    with pytest.raises(RuntimeError):
+        load(spark, root, target, manifest, files_per_batch=2)
+    monkeypatch.undo()
+    month("202603", "S3,x,O3,P1,f,t\n")
+    load(spark, root, target, manifest, files_per_batch=2)
+    assert history(spark, target) == ["S1", "S2", "S3"]
 
 
 def write_zip(path, members):
@@ -148,8 +223,7 @@ def test_incremental_archives(spark, tmp_path):
     first = append_archives(spark, root, staging, offsets, members, as_of=as_of)
 
     def periods(table):
-        df = spark.read.schema(STAGING[table].struct()).parquet(f"{staging}/{table}")
-        return sorted((r.etl_period, r.batch_id) for r in df.collect())
+        return sorted((r.etl_period, r.batch_id) for r in read_staging_table(spark, f"{staging}/{table}", table).collect())
 
     assert periods("stg_ofertas") == periods("stg_proveedores") == [("202601", first), ("202602", first)]
     append_archives(spark, root, staging, offsets, members, as_of=as_of)
@@ -184,6 +258,36 @@ def test_archive_blocks(spark, tmp_path, monkeypatch):
     assert [v for b in batches for v in b.column(0).to_pylist()] == [f"S{i}" for i in range(5000)]
 
 
+@pytest.mark.parametrize(("sep", "encoding"), [(";", "ISO-8859-1"), (",", "UTF-8")])
+def test_dialects_and_long_fields_load_alike_from_archives_and_csv(spark, tmp_path, sep, encoding):
+    long = "ñ" * (9 << 20)
+    lines = [HEADER.strip().split(","), ["S1", "x", "Oñ", "P", "f", long], ["S2", "x", "O2", "P", "f", "t"]]
+    body = "".join(sep.join(line) + "\n" for line in lines).encode(encoding)
+    write_zip(f"{tmp_path}/z/datos_202601.zip", {"Ofertas.csv": body})
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "Ofertas.csv").write_bytes(body)
+    zipped = scan_archives(spark, f"{tmp_path}/z", "Ofertas.csv", BIDS, "b", sep=sep, encoding=encoding).select(*BIDS)
+    plain = scan_csv(spark, f"{tmp_path}/csv", BIDS, sep=sep, encoding=encoding)
+    assert sorted(zipped.collect()) == sorted(plain.collect())
+    assert {r.tipo_oferta for r in zipped.collect()} == {long, "t"}
+
+
+def test_rows_larger_than_a_block_are_read_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tenderloom.sources.archives.BLOCK_BYTES", 1 << 10)
+    from tenderloom.sources.archives import _member_batches
+
+    path = str(tmp_path / "datos_202602.zip")
+    rows = [f"S{i},x,O{i},P,f,{'y' * (5000 if i % 40 == 39 else 3)}\n" for i in range(200)]
+    write_zip(path, {"Ofertas.csv": HEADER + "".join(rows)})
+    batches = list(_member_batches(path, "Ofertas.csv", BIDS))
+    assert [v for b in batches for v in b.column(0).to_pylist()] == [f"S{i}" for i in range(200)]
+
+
+def test_unknown_stores_are_refused_at_once(spark):
+    with pytest.raises(ValueError, match="abfss"):
+        scan_archives(spark, "abfss://c@a/zips", "Ofertas.csv", BIDS, "b")
+
+
 def test_archive_without_a_configured_column(spark, tmp_path):
     write_zip(f"{tmp_path}/z/datos_202601.zip", {"Ofertas.csv": "NRO_SICOP\nS1\n"})
     with pytest.raises(Exception, match="not in the header"):
@@ -194,12 +298,13 @@ def test_staging_layout_prunes_periods(spark, staged, plan_of, tmp_path):
     rows = [{"nro_sicop": f"S{i}", "etl_period": p} for i, p in enumerate(["202511", "202512", "202601", "202601"])]
     for name in STAGING:
         if name != "stg_ofertas":
-            write_staging(staged(name, [{"etl_period": "202601"}]), f"{tmp_path}/{name}", "batch_id")
-    write_staging(staged("stg_ofertas", rows), f"{tmp_path}/stg_ofertas", "nro_sicop")
-    write_staging(staged("stg_ofertas", rows[:1]), f"{tmp_path}/stg_ofertas", "nro_sicop")  # history grows
+            write_staging(staged(name, [{"etl_period": "202601"}]), f"{tmp_path}/{name}")
+    write_staging(staged("stg_ofertas", rows), f"{tmp_path}/stg_ofertas")
+    for _ in range(2):  # history grows, and a repeated load replaces itself
+        write_staging(staged("stg_ofertas", rows[:1]), f"{tmp_path}/stg_ofertas", "again")
     tables = read_staging(spark, str(tmp_path))
     assert set(tables) == set(STAGING)
-    assert all(df.columns == [c for c in STAGING[n].names if c != "etl_period"] + ["etl_period"] for n, df in tables.items())
+    assert all(df.columns == STAGING[n].names for n, df in tables.items())
     assert tables["stg_ofertas"].count() == 5
     recent = last_n_periods(tables["stg_ofertas"], dt.date(2026, 1, 31), months=2)
     assert sorted(r.nro_sicop for r in recent.collect()) == ["S1", "S2", "S3"]
@@ -236,12 +341,12 @@ def test_sorted_files_spread_a_large_value(spark, tmp_path):
 
 def test_large_period_is_written_by_several_tasks(spark, staged, tmp_path):
     rows = [{"nro_sicop": f"S{i:04d}", "etl_period": "202601" if i % 3 else f"2025{1 + i % 12:02d}"} for i in range(1200)]
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
     try:
-        write_staging(staged("stg_ofertas", rows), str(tmp_path / "t"), "nro_sicop")
+        write_staging(staged("stg_ofertas", rows).repartition(4), str(tmp_path / "t"), "one")
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(list((tmp_path / "t" / "etl_period=202601").glob("*.parquet"))) >= 2
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "t" / "load=one" / "etl_period=202601").glob("*.parquet"))) >= 2
     assert spark.read.parquet(str(tmp_path / "t")).count() == 1200
 
 

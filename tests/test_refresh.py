@@ -2,9 +2,9 @@ import pytest
 
 from conformance import fixtures as fx
 from tenderloom.operators.quality import ConstraintError
-from tenderloom.plans.refresh import full_refresh
-from tenderloom.schemas import MODEL
-from tenderloom.sources.tables import read_table
+from tenderloom.plans.refresh import full_refresh, read_rejected
+from tenderloom.schemas import BUYERS, MODEL
+from tenderloom.sources.tables import read_model, upsert_table
 
 SF = "/root/testdata/sf0.001"
 CODE = "4321150101234567"
@@ -48,6 +48,65 @@ def test_strict_refresh(spark, staged, tmp_path):
         full_refresh(spark, staging, str(tmp_path / "x"), policy="ignore")
 
 
+def contents(spark, target):
+    return {name: sorted(map(str, read_model(spark, target, table).collect())) for name, table in MODEL.items()}
+
+
+def test_a_failed_refresh_changes_nothing_for_readers(spark, staged, tmp_path):
+    target, staging = str(tmp_path / "model"), clean_staging(staged)
+    with pytest.raises(ValueError, match="no run of"):
+        read_model(spark, target, BUYERS)
+    full_refresh(spark, staging, target)
+    before = contents(spark, target)
+    broken = dict(staging)
+    broken["stg_instituciones"] = staged("stg_instituciones", [{"cedula": "B9", "nombre_institucion": "z", "etl_period": "202602"}])
+    broken["stg_lineas_ofertadas"] = staged(
+        "stg_lineas_ofertadas",
+        [{"nro_sicop": "S1", "nro_oferta": "O1", "nro_linea": "1", "cantidad_ofertada": "12,5", "etl_period": "202602"}],
+    )
+    with pytest.raises(Exception, match="cannot read"):
+        full_refresh(spark, broken, target)
+    assert contents(spark, target) == before
+    broken["stg_lineas_ofertadas"] = staging["stg_lineas_ofertadas"]
+    with pytest.raises(ConstraintError):
+        full_refresh(spark, broken, target, policy="strict")
+    assert contents(spark, target) == before
+    full_refresh(spark, broken, target)
+    assert "B9" in str(contents(spark, target)[BUYERS.name])
+
+
+def test_quarantine(spark, staged, tmp_path):
+    target, staging = str(tmp_path / "model"), clean_staging(staged)
+    version = {"etl_period": "202601"}
+    lines = [
+        {"nro_sicop": "S1", "numero_linea": "1", "codigo_identificacion": CODE, **version},
+        {"nro_sicop": "S1", "numero_linea": "2", "codigo_identificacion": CODE, "cantidad_solicitada": "12,5", **version},
+        {"nro_sicop": "S1", "numero_linea": "3", "codigo_identificacion": CODE, "cantidad_solicitada": "-1", **version},
+        {"nro_sicop": "S1", "numero_linea": "4", "codigo_identificacion": "123", **version},
+    ]
+    staging["stg_lineas_carteles"] = staged("stg_lineas_carteles", lines)
+    report = {(r.table_name, r.rule, r.target): r.n_rows for r in full_refresh(spark, staging, target, policy="quarantine").collect()}
+    name = "lineas_carteles"
+    assert report[name, "rows", name] == 1
+    assert {k[2]: n for k, n in report.items() if k[:2] == (name, "rejected")} == {
+        "unreadable cantidad": 1, "check": 1, "cod_producto -> dim_catalogo_codigo_identificacion_producto": 1,
+    }
+    rejected = read_rejected(spark, target, name)
+    assert sorted(r.nro_linea for r in rejected.collect()) == [2, 3, 4]
+    assert read_model(spark, target, MODEL[name]).count() == 1
+    assert {r.rule for r in full_refresh(spark, staging, target, policy="quarantine").collect()} == {"rows", "rejected"}
+
+
+def test_upsert_is_stored_and_repeatable(spark, staged, tmp_path):
+    target = str(tmp_path / "model")
+    full_refresh(spark, clean_staging(staged), target)
+    rows = [("B1", "new name", None, None, None), ("B2", "second", "p", "c", "d")]
+    incoming = spark.createDataFrame(rows, BUYERS.struct())
+    for _ in range(2):
+        upsert_table(spark, target, BUYERS, incoming)
+        assert sorted(tuple(r)[:2] for r in read_model(spark, target, BUYERS).collect()) == [("B1", "new name"), ("B2", "second")]
+
+
 def test_refresh_twice_gives_the_same_tables(spark, tmp_path):
     staging = fx.staging(spark, SF)
     first = full_refresh(spark, staging, str(tmp_path / "a")).collect()
@@ -56,7 +115,7 @@ def test_refresh_twice_gives_the_same_tables(spark, tmp_path):
     second = full_refresh(spark, again, str(tmp_path / "b")).collect()
     assert sorted(map(tuple, first)) == sorted(map(tuple, second))
     for name, table in MODEL.items():
-        a, b = read_table(spark, f"{tmp_path}/a/{name}", table), read_table(spark, f"{tmp_path}/b/{name}", table)
+        a, b = read_model(spark, f"{tmp_path}/a", table), read_model(spark, f"{tmp_path}/b", table)
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
 
 
