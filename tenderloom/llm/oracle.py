@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tenderloom.llm import url_markov
+
 VECTOR_ROWS = """
     SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
     FROM embeddings
@@ -9,7 +11,89 @@ VECTOR_ROWS = """
       AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(256 * CAST(x AS DOUBLE))]) = 0
 """
 
+
+
+def _url_sql(order: int = url_markov.ORDER) -> str:
+    """Rules, models by window functions, calibration and verdicts."""
+    longest = sorted(url_markov.RULES, key=lambda r: -len(r.name))
+    fits = [
+        f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in longest
+    ]
+    rule = " ".join(f"WHEN {f} THEN '{r.name}'" for f, r in zip(fits, longest))
+    ruling = " ".join(f"WHEN {f} THEN '{r.verdict}'" for f, r in zip(fits, longest))
+    text = f"'{url_markov.PAD * order}' || host || path || '{url_markov.STOP}'"
+
+    def grams(columns: str, source: str) -> str:
+        return f"""
+            SELECT {columns}, substr({text}, i, {order + 1}) AS gram
+            FROM (SELECT *, unnest(range(1, length(host || path) + 2)) AS i FROM {source})"""
+
+    levels = []
+    for k in range(order + 1):
+        counts = f"SELECT right(gram, {k + 1}) AS gram, sum(a) AS a, sum(b) AS b FROM seen GROUP BY ALL"
+        below = (
+            "1.0 / count(*) OVER () AS qa, 1.0 / count(*) OVER () AS qb FROM c"
+            if k == 0
+            else f"p.qa, p.qb FROM c JOIN p{k - 1} p ON p.gram = substr(c.gram, 2, {k})"
+        )
+        levels.append(f"""p{k} AS (
+            SELECT gram, CASE WHEN na > 0 THEN (a + ta * qa) / (na + ta) ELSE qa END AS qa,
+                   CASE WHEN nb > 0 THEN (b + tb * qb) / (nb + tb) ELSE qb END AS qb
+            FROM (
+                WITH c AS ({counts})
+                SELECT c.gram, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b,
+                       CAST(sum(a) OVER w AS DOUBLE) AS na, CAST(sum(b) OVER w AS DOUBLE) AS nb,
+                       CAST(count(*) FILTER (a > 0) OVER w AS DOUBLE) AS ta,
+                       CAST(count(*) FILTER (b > 0) OVER w AS DOUBLE) AS tb, {below}
+                WINDOW w AS (PARTITION BY substr(c.gram, 1, {k}))
+            ))""")
+    widest, unit, bins = url_markov.WIDEST, url_markov.SCORE_UNIT, url_markov.BINS
+    return f"""
+        WITH parts AS (
+            SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
+        ),
+        split AS (
+            SELECT page_id, coalesce(substr(md5(url), 1, 1) IN ('0', '1', '2'), false) AS calibrates,
+                   coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), '{url_markov.UPPER}', '{url_markov.LOWER}'), '') AS host,
+                   coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+            FROM parts
+        ),
+        ruled AS (SELECT *, CASE {rule} END AS rule, CASE {ruling} END AS ruling FROM split),
+        seen AS (
+            SELECT gram, count(*) FILTER (NOT calibrates AND ruling = 'allow') AS a,
+                   count(*) FILTER (NOT calibrates AND ruling = 'block') AS b
+            FROM ({grams("calibrates, ruling", "ruled")}) GROUP BY gram
+        ),
+        {", ".join(levels)},
+        texts AS (SELECT DISTINCT host, path FROM ruled),
+        scores AS (
+            SELECT host, path, CAST(sum(CAST(round((ln(qa) - ln(qb)) * {unit}) AS BIGINT)) AS DOUBLE) / count(*) / {unit} AS score
+            FROM ({grams("host, path", "texts")}) JOIN p{order} USING (gram) GROUP BY ALL
+        ),
+        judged AS (SELECT * FROM ruled JOIN scores USING (host, path)),
+        steps AS (
+            SELECT greatest(-{widest}, least({widest}, CAST(floor(score * {bins}) AS INTEGER))) AS step,
+                   count(*) FILTER (ruling = 'allow') AS a, count(*) FILTER (ruling = 'block') AS b
+            FROM judged WHERE calibrates AND ruling IS NOT NULL GROUP BY ALL
+        ),
+        shares AS (
+            SELECT step, 1 - coalesce(sum(a) OVER below, 0) / nullif(sum(a) OVER (), 0)
+                   + coalesce(sum(b) OVER below, 0) / nullif(sum(b) OVER (), 0) AS share
+            FROM steps WINDOW below AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ),
+        cut AS (
+            SELECT coalesce((
+                SELECT step FROM shares WHERE share IS NOT NULL ORDER BY round(share, 9) DESC, abs(step), step LIMIT 1
+            ) / {bins}, 0.0) AS cut
+        )
+        SELECT page_id, host, path, rule,
+               coalesce(ruling, CASE WHEN score >= (SELECT cut FROM cut) THEN 'allow' ELSE 'block' END) AS verdict
+        FROM judged
+    """
+
+
 ORACLE: dict[str, str] = {
+    "op7_url_markov": _url_sql(),
     "op10_exact_top_k": f"""
         WITH vectors AS ({VECTOR_ROWS}),
         scores AS (

@@ -142,11 +142,11 @@ def threshold(rows: DataFrame) -> DataFrame:
     # One row per step, of which there are 2 * WIDEST + 1 at most.
     whole = Window.partitionBy(F.lit(1))
     below = Window.partitionBy(F.lit(1)).orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
-    shares = per_step.select(
-        "step",
-        (1 - F.coalesce(F.sum("a").over(below), F.lit(0)) / F.sum("a").over(whole)
-         + F.coalesce(F.sum("b").over(below), F.lit(0)) / F.sum("b").over(whole)).alias("right"),
-    )
+
+    def share_below(n: str) -> Column:
+        return F.coalesce(F.sum(n).over(below), F.lit(0)) / F.nullif(F.sum(n).over(whole), F.lit(0))
+
+    shares = per_step.select("step", (1 - share_below("a") + share_below("b")).alias("right"))
     best = F.max_by("step", F.struct(F.round("right", 9), -F.abs(F.col("step")), -F.col("step")))
     return shares.where("right IS NOT NULL").agg(F.coalesce(best / BINS, F.lit(0.0)).alias("cut"))
 
