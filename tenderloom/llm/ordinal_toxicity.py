@@ -1,16 +1,19 @@
 """Toxicity grades by cumulative-link ordinal regression.
 
 P(grade <= j) = logistic(threshold_j - w.x): one weight vector w for all thresholds, which ascend.  The features x
-say which words of a learnt vocabulary a text has.  The result is the expected grade, the severity.
+say which marks a text has.  Marks are words, and pieces of words of 4 or 5 characters with the borders of the
+word, that toxic documents have far more often than others: pieces find inflected and compound forms that no
+labelled document has.  The result is the expected grade, the severity.
 
-Labels say toxic or not; the grade of a toxic document is the number of toxic words that it has, in bands.
-Toxic words are those that toxic documents have far more often than others.  The vocabulary, the grades and the
-weights are learnt from at most about ``SAMPLE`` labelled documents, those with the smallest hashes of their ids.
+Labels say toxic or not; the grade of a toxic document is the number of its different words with a mark, in bands.
+Marks, grades and weights are learnt from at most about ``SAMPLE`` labelled documents, those with the smallest
+hashes of their ids.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -20,16 +23,18 @@ from pyspark.sql import functions as F
 
 from tenderloom.llm.common import small_batches, texts_of
 
-SAMPLE = 8_000
+SAMPLE = 6_000
 LEAST_DOCUMENTS = 8
 MARKED = 8.0
+PIECES = (4, 5)
+MAX_WORDS = 200_000
 BANDS = (1, 3, 6)
 TOXIC_FROM = 0.5
 WORD = re.compile(r"[^\W\d_]+")
 
 
 class Model(NamedTuple):
-    """Weights by word, and the ascending thresholds between grades."""
+    """Weights by mark, and the ascending thresholds between grades."""
 
     weights: dict[str, float]
     thresholds: list[float]
@@ -39,25 +44,53 @@ def words_of(text: str) -> set[str]:
     return set(WORD.findall(text.lower()))
 
 
-def grades_of(words: list[set[str]], toxic: list[int]):
-    """Grades from 0 (not toxic) to ``len(BANDS)``: in which band of ``BANDS`` the number of a text's toxic words is."""
+def pieces_of(word: str) -> set[str]:
+    """The word between its borders, and all its pieces."""
+    whole = f"^{word}$"
+    return {whole, *(whole[i : i + n] for n in PIECES for i in range(len(whole) - n + 1))}
+
+
+def marks_of(words: list[set[str]], toxic: list[int]) -> set[str]:
+    """Pieces that toxic documents have ``MARKED`` times as often as others, and ``LEAST_DOCUMENTS`` of them at least."""
     import collections
 
+    bad, good = collections.Counter(), collections.Counter()
+    for row, flag in zip(words, toxic):
+        if flag:
+            bad.update(set().union(*map(pieces_of, row)))
+    often = {p for p, n in bad.items() if n >= LEAST_DOCUMENTS}
+    for row, flag in zip(words, toxic):
+        if not flag:
+            good.update(set().union(*map(pieces_of, row)) & often)
+    n_bad = max(1, sum(map(bool, toxic)))
+    n_good = max(1, len(toxic) - n_bad)
+    return {p for p in often if (bad[p] + 0.5) / n_bad > MARKED * (good[p] + 0.5) / n_good}
+
+
+def marked(words: set[str], marks, known: dict[str, tuple]) -> list[tuple]:
+    """The marks of each word that has any; ``known`` keeps those of words seen before."""
+    if len(known) > MAX_WORDS:
+        known.clear()
+    found = []
+    for word in words:
+        own = known.get(word)
+        if own is None:
+            own = known[word] = tuple(p for p in pieces_of(word) if p in marks)
+        if own:
+            found.append(own)
+    return found
+
+
+def grades_of(found: list[list[tuple]], toxic: list[int]):
+    """Grades from 0 (not toxic) to ``len(BANDS)``: the band of the number of words with a mark."""
     import numpy as np
 
     flags = np.array(toxic, bool)
-    bad, good = collections.Counter(), collections.Counter()
-    for row, flag in zip(words, flags):
-        (bad if flag else good).update(row)
-    n_bad, n_good = max(1, int(flags.sum())), max(1, int((~flags).sum()))
-    marks = {
-        w for w, n in bad.items() if n >= LEAST_DOCUMENTS and (n + 0.5) / n_bad > MARKED * (good[w] + 0.5) / n_good
-    }
-    found = np.array([len(row & marks) for row in words], np.int64)
-    return np.where(flags, np.maximum(1, np.searchsorted(BANDS, found, side="right")), 0)
+    counts = np.array([len(row) for row in found], np.int64)
+    return np.where(flags, np.maximum(1, np.searchsorted(BANDS, counts, side="right")), 0)
 
 
-def fit(words: list[set[str]], grades, steps: int = 400, penalty: float = 2e-5) -> Model:
+def fit(features: list[set[str]], grades, steps: int = 400, penalty: float = 2e-5) -> Model:
     """Weights and thresholds by Adam on the mean negative log-likelihood; a fixed number of steps from zero."""
     import collections
 
@@ -65,7 +98,7 @@ def fit(words: list[set[str]], grades, steps: int = 400, penalty: float = 2e-5)
 
     grades = np.asarray(grades, np.int64)
     top = int(grades.max(initial=0))
-    counts = collections.Counter(w for row in words for w in row)
+    counts = collections.Counter(w for row in features for w in row)
     vocabulary = sorted(w for w, n in counts.items() if n >= LEAST_DOCUMENTS)
     if not top or not vocabulary:
         return Model({}, [])
@@ -73,10 +106,10 @@ def fit(words: list[set[str]], grades, steps: int = 400, penalty: float = 2e-5)
     present = np.unique(grades)
     grades = np.searchsorted(present, grades)
     number = {w: k for k, w in enumerate(vocabulary)}
-    found = [[number[w] for w in row if w in number] for row in words]
+    found = [[number[w] for w in sorted(row) if w in number] for row in features]
     column = np.array([c for row in found for c in row], np.int64)
-    row = np.repeat(np.arange(len(words)), [len(r) for r in found])
-    n, size, cuts = len(words), len(vocabulary), len(present) - 1
+    row = np.repeat(np.arange(len(features)), [len(r) for r in found])
+    n, size, cuts = len(features), len(vocabulary), len(present) - 1
 
     def logistic(v):
         return 1 / (1 + np.exp(-np.clip(v, -40, 40)))
@@ -127,18 +160,22 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts = texts.join(F.broadcast(chosen), "id")
     known = texts.select("id", "toxic", "text").mapInPandas(rows, "id long, toxic int, words string").collect()
     known.sort(key=lambda r: (r["id"], r["words"]))
-    words = [set(r["words"].split()) for r in known]
-    return fit(words, grades_of(words, [r["toxic"] for r in known]))
+    words, toxic = [set(map(sys.intern, r["words"].split())) for r in known], [r["toxic"] for r in known]
+    marks, seen = marks_of(words, toxic), {}
+    found = [marked(row, marks, seen) for row in words]
+    return fit([set().union(*row) for row in found], grades_of(found, toxic))
 
 
 def graded(text: Column, model: Model) -> Column:
-    """struct(severity, grade, toxic) of each whole text; without a known word, a text has the grade of an empty one."""
+    """struct(severity, grade, toxic) of each whole text; without a mark, a text has the grade of an empty one."""
+    known: dict[str, tuple] = {}
     @F.pandas_udf("severity double, grade int, toxic boolean")
     def grade(texts: pd.Series) -> pd.DataFrame:
         import numpy as np
 
-        weights, rows = model.weights, texts_of(texts)
-        score = np.array([sum(weights[w] for w in sorted(words_of(t) & weights.keys())) for t in rows], np.float64)
+        weights = model.weights
+        found = (set().union(*marked(words_of(t), weights, known)) for t in texts_of(texts))
+        score = np.array([sum(weights[m] for m in sorted(marks)) for marks in found], np.float64)
         bounds = np.array(model.thresholds, np.float64)
         above = 1 / (1 + np.exp(np.clip(bounds[None, :] - score[:, None], -40, 40)))  # P(grade > j)
         severity = above.sum(axis=1)
