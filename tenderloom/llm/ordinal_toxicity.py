@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from tenderloom.llm.common import small_batches, texts_of
 
 SAMPLE = 6_000
-LEAST_DOCUMENTS = 8
+LEAST_DOCUMENTS = 3
+LEAST_SHARE = 0.01
 MARKED = 8.0
 PIECES = (4, 5)
 MAX_WORDS = 200_000
@@ -51,18 +52,21 @@ def pieces_of(word: str) -> set[str]:
 
 
 def marks_of(words: list[set[str]], toxic: list[int]) -> set[str]:
-    """Pieces that toxic documents have ``MARKED`` times as often as others, and ``LEAST_DOCUMENTS`` of them at least."""
+    """Pieces that toxic documents have ``MARKED`` times as often as others.
+
+    A hundredth of the toxic documents has them, and ``LEAST_DOCUMENTS`` at least.
+    """
     import collections
 
     bad, good = collections.Counter(), collections.Counter()
     for row, flag in zip(words, toxic):
         if flag:
             bad.update(set().union(*map(pieces_of, row)))
-    often = {p for p, n in bad.items() if n >= LEAST_DOCUMENTS}
+    n_bad = max(1, sum(map(bool, toxic)))
+    often = {p for p, n in bad.items() if n >= max(LEAST_DOCUMENTS, LEAST_SHARE * n_bad)}
     for row, flag in zip(words, toxic):
         if not flag:
             good.update(set().union(*map(pieces_of, row)) & often)
-    n_bad = max(1, sum(map(bool, toxic)))
     n_good = max(1, len(toxic) - n_bad)
     return {p for p in often if (bad[p] + 0.5) / n_bad > MARKED * (good[p] + 0.5) / n_good}
 
@@ -184,7 +188,7 @@ def graded(text: Column, model: Model) -> Column:
             {
                 "severity": severity,
                 "grade": (above > 0.5).sum(axis=1).astype(np.int32),
-                "toxic": above[:, 0] >= TOXIC_FROM if len(bounds) else np.zeros(len(rows), bool),
+                "toxic": above[:, 0] >= TOXIC_FROM if len(bounds) else np.zeros(len(score), bool),
             }
         )
 
