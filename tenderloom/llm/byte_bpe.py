@@ -15,7 +15,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenderloom.llm.common import kept_in_worker, slices, small_batches, spread, staged, texts_of
+from tenderloom.llm.common import kept_in_worker, slices, small_batches, staged, texts_of
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 1_024
@@ -146,8 +146,7 @@ def encode_texts(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
     is_long = F.length("text") > chunk + overlap
-    short = spread(narrow.where(~is_long), F.col("doc_id"), F.col("text"))
-    short = short.mapInPandas(encode, "doc_id long, ids binary")
+    short = narrow.where(~is_long).mapInPandas(encode, "doc_id long, ids binary")
     # Written once, so that the numbers given to rows don't change if a task runs again.
     long_texts = staged(narrow.where(is_long).withColumn("row", F.monotonically_increasing_id()), "long-texts")
     pieces = _segments(long_texts.select("row", "text"), path, pattern, chunk, overlap)

@@ -19,7 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenderloom.llm.common import small_batches, spread, staged, texts_of
+from tenderloom.llm.common import small_batches, staged, texts_of
 from tenderloom.llm.tokens import WORDS_ONLY, encoder
 
 CAPACITY = 2048
@@ -111,7 +111,7 @@ def token_pieces(
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return spread(narrow, F.col("doc_id"), F.col("text")).mapInPandas(pieces, schema)
+    return narrow.mapInPandas(pieces, schema)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

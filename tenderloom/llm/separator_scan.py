@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tenderloom.llm.common import small_batches, spread, texts_of
+from tenderloom.llm.common import small_batches, texts_of
 from tenderloom.llm.tokens import WITH_SPACES, encoder
 
 END = 0
@@ -59,7 +59,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, rows_per_file: int
 
     small_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = spread(narrow, F.col("doc_id"), F.col("text")).mapInPandas(flat, "value binary")
+    rows = narrow.mapInPandas(flat, "value binary")
     writer = rows.select(F.col("value").cast("string")).write.option("lineSep", "\x00\x00")
     writer.option("maxRecordsPerFile", str(rows_per_file)).text(path)
 
