@@ -22,7 +22,7 @@ from conformance import queries as registered  # noqa: E402
 from tenderloom.plans import catalog, dimensions, facts, refresh, reports  # noqa: E402
 from tenderloom.schemas import AWARD_LINES, BUYERS, SUPPLIERS, TENDER_LINES  # noqa: E402
 from tenderloom.session import local_session, work_folder  # noqa: E402
-from tenderloom.sources.tables import read_staging, read_table  # noqa: E402
+from tenderloom.sources.tables import load_folder, read_model, read_staging  # noqa: E402
 
 
 def main() -> None:
@@ -34,7 +34,8 @@ def main() -> None:
     staged_at, model_at = work_folder(spark, "bench-staging"), work_folder(spark, "bench-model")
     start = time.time()
     for name, df in fx.staging(spark, sf_dir).items():
-        write_staging(df, f"{staged_at}/{name}")
+        folder = load_folder(f"{staged_at}/{name}", "bench")
+        df.repartition(spark.sparkContext.defaultParallelism).write.parquet(folder)
     staging_sec = round(time.time() - start, 3)
     st = read_staging(spark, staged_at)
     lines, bid_lines = st["stg_lineas_carteles"], st["stg_lineas_ofertadas"]
