@@ -17,19 +17,20 @@ from tenderloom.llm.common import small_batches, staged, table
 from tenderloom.llm.tokens import public_path
 
 SIMILARITY = Fraction(4, 5)
-LEAST_SCORE = 0.4
+ABOVE_CHANCE = 1.1
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents of a learnt language.
 
-    Those without text or without a letter go, and those whose best language is both flagged as ambiguous and
-    below ``LEAST_SCORE``: text that is like no language learnt.  If no document has a language to learn from, those
-    with a letter cannot be told apart and go too.
+    Those without text or without a letter go, and those flagged as ambiguous whose best language scores less than
+    ``ABOVE_CHANCE`` times what it would by chance: text that is like no language learnt.  If no document has a language
+    to learn from, those with a letter cannot be told apart and go too.
     """
     small_batches(spark)
-    found = language_codes.predicted(F.col("text"), language_codes.learn(docs))
-    unlike = found["ambiguous"] & (found["score"] < LEAST_SCORE)
+    model = language_codes.learn(docs)
+    found = language_codes.predicted(F.col("text"), model)
+    unlike = found["ambiguous"] & (found["score"] < ABOVE_CHANCE / max(1, len(model.languages)))
     return docs.where((found["lang"] != language_codes.UNDETERMINED) & ~unlike)
 
 
