@@ -182,8 +182,11 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, representatives: DataFrame, w
         import pandas as pd
 
         for batch in batches:
-            sets = [shingle_set(t, words).tobytes() for t in texts_of(batch["text"])]
-            yield pd.DataFrame({"class": batch["class"], "values": sets})
+            sets = [shingle_set(t, words) for t in texts_of(batch["text"])]
+            # An id that stands on other texts too finds them here; only the text of the class counts.
+            own = [c == _class(s) for c, s in zip(batch["class"], sets)]
+            out = pd.DataFrame({"class": batch["class"], "values": [s.tobytes() for s in sets]})
+            yield out[own]
 
     one = wanted.join(representatives.select("class", "doc_id"), "class")
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -86,6 +86,15 @@ def test_families_of_copies_and_shared_passages(spark, num, den, short):
     assert found(got) == expected(rows, num, den)
 
 
+def test_repeated_rows_and_ids_on_several_texts(spark):
+    base = [f"w{k}" for k in range(60)]
+    near = [*base[:-1], "other"]
+    rows = [(5, " ".join(base))] * 40 + [(6, " ".join(near))] * 3 + [(5, "something else in five words"), (9, " ".join(near[1:]))]
+    df = frame(spark, [(i, t, None) for i, t in rows])
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in bottom_k.near_duplicates(df, Fraction(4, 5)).collect()}
+    assert got == {(5, 56, 5), (6, 56, 5), (5, 1, 5), (9, 55, 5)}
+
+
 def test_least_overlap_is_safe_and_useful():
     for t in (Fraction(4, 5), Fraction(17, 20)):
         least = bottom_k.least_overlap(48, t)
