@@ -158,8 +158,13 @@ def _candidates(classes: DataFrame, similarity: Fraction, k: int, short: int) ->
         (F.col("x.class") < F.col("y.class")) & (small * similarity.denominator >= large * similarity.numerator)
     )
     pairs = pairs.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
-    many = lists.join(per_value.where(F.col("times") > short), "value").where("class <> head")
-    many = many.select(F.col("head").alias("a"), F.col("class").alias("b")).distinct()
+    # A class hangs on the smallest of the heads of its lists, and so do the other heads: copies of one text have the
+    # same few heads, so this leaves about one link per member instead of one per list.
+    heads = lists.join(per_value.where(F.col("times") > short), "value").groupBy("class").agg(
+        F.collect_set("head").alias("heads")
+    )
+    hung = F.explode(F.array_union("heads", F.array("class"))).alias("b")
+    many = heads.select(F.array_min("heads").alias("a"), hung).where("a <> b").distinct()
     return _estimated(pairs, classes, similarity, k).unionByName(many)
 
 
