@@ -2,7 +2,8 @@
 
 The tokenizers split a text into pieces before they look at their merges, and no piece crosses the borders
 that the two patterns below draw.  So a text's ids are those of its parts in a row, and every part that
-comes again is looked up instead of encoded again.
+comes again is looked up instead of encoded again.  Added tokens of the file (``<|endoftext|>``) that a text spells
+out are cut out before that and give their own ids, as the library does by default.
 """
 
 from __future__ import annotations
@@ -40,14 +41,25 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         self.parts = re.compile(pattern).findall
+        tokens = self.model.get_added_tokens_decoder()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in tokens.values()):
+            raise ValueError(f"{path}: added tokens must stand for their plain text")
+        self.added = {t.content: k.to_bytes(4, "little") for k, t in tokens.items()}
+        # The library takes the leftmost of them, and the longest of those.
+        self.cut = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})").split
         self.between = BETWEEN[pattern]
         (self.border,) = self._whole(self.between)
         # Two generations: when the young one is full, the old one goes, and parts that come again move back.
-        self.young: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = dict(self.added)
         self.old: dict[str, bytes] = {}
 
+    def _parts(self, text: str) -> list[str]:
+        if not any(token in text for token in self.added):
+            return self.parts(text)
+        cut = self.cut(text)
+        return [p for k, piece in enumerate(cut) for p in ([piece] if k % 2 else self.parts(piece))]
+
     def _whole(self, text: str) -> list[int]:
         return self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
@@ -67,9 +79,9 @@ class Encoder:
         return found
 
     def _slice(self, texts: list[str]) -> list[bytes]:
-        parts = [self.parts(text) for text in texts]
+        parts = [self._parts(text) for text in texts]
         if len(self.young) > MAX_CACHE:
-            self.young, self.old = {}, self.young
+            self.young, self.old = dict(self.added), self.young
         known, old = self.young, self.old
         # Not a difference of sets: that would walk through all that is known.
         missing = [p for p in set().union(*parts) if p not in known]

@@ -12,7 +12,7 @@ from llm_rows import ODD
 from tokenizers import Tokenizer
 
 from tenderloom.llm import byte_bpe, huffman, packing, queries, separator_scan
-from tenderloom.llm.tokens import WITH_SPACES, WORDS_ONLY, Encoder, public_path
+from tenderloom.llm.tokens import WITH_SPACES, WORDS_ONLY, Encoder, encoder, public_path
 from tenderloom.session import work_folder
 
 WORD, BYTE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -258,3 +258,47 @@ def test_scan_of_nothing_and_of_an_open_end(spark, empty, tmp_path):
         ]
     with pytest.raises(ValueError):
         separator_scan.count_tokens(spark, path, 63)
+
+
+# --- added tokens in texts -------------------------------------------------------------------------
+
+SPELT_OUT = [
+    "a b<|endoftext|> c <|startoftext|>", "<|endoftext|>", "x  <|endoftext|>  \n y<|endoftext|><|endoftext|>'s",
+    "<|endoftext|<|endoftext|>́e <|EndOfText|>", " <|startoftext|> \t",
+]
+
+
+@pytest.fixture(scope="module")
+def untouched():
+    models = {name: Tokenizer.from_file(public_path(name)) for name in (WORD, BYTE)}
+    return lambda name, text: models[name].encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|", "|>", "a", "'s", " ", "\n", "́", "é1"]), max_size=12))
+def test_added_tokens_give_the_ids_of_an_untouched_tokenizer(untouched, parts):
+    for name, pattern in ((WORD, WORDS_ONLY), (BYTE, WITH_SPACES)):
+        for text in ("".join(parts), *SPELT_OUT):
+            got = encoder(public_path(name), pattern).encode([text])[0]
+            assert np.frombuffer(got, "<u4").tolist() == untouched(name, text)
+
+
+def test_added_tokens_outlive_the_cache(untouched, monkeypatch):
+    monkeypatch.setattr("tenderloom.llm.tokens.MAX_CACHE", 2)
+    own = Encoder(public_path(BYTE), WITH_SPACES)
+    for k in range(6):
+        text = f"one{k} two{k}<|endoftext|> three{k} four"
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == untouched(BYTE, text)
+
+
+def test_operators_take_added_tokens_as_the_library_does(spark, untouched):
+    df = spark.createDataFrame(list(enumerate(SPELT_OUT)), "doc_id long, text string")
+    pieces = packing.pack(packing.token_pieces(df, public_path(WORD))).collect()
+    assert sorted([tuple(r)[:5] for r in pieces], key=str) == expected_pieces(enumerate(SPELT_OUT), untouched)
+    files = {r["doc_id"]: r["ids"] for r in huffman.round_trip(df, public_path(BYTE)).collect()}
+    want = {i: [*untouched(BYTE, t), 2] for i, t in enumerate(SPELT_OUT)}
+    assert {i: np.frombuffer(x, "<u4").tolist() for i, x in files.items()} == want
+    path = work_folder(spark, "scan")
+    separator_scan.write_tokens(df, path, public_path(BYTE))
+    counts = {r["doc_id"]: r["n_tokens"] for r in separator_scan.count_tokens(spark, path).collect()}
+    assert counts == {i: len(x) - 1 for i, x in want.items()}
