@@ -23,15 +23,16 @@ ABOVE_CHANCE = 1.1
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents of a learnt language.
 
-    Those without text or without a letter go, and those flagged as ambiguous whose best language scores less than
-    ``ABOVE_CHANCE`` times what it would by chance: text that is like no language learnt.  If no document has a language
-    to learn from, those with a letter cannot be told apart and go too.
+    Those without text or without a letter go, and those that are like no language learnt: their best language scores
+    less than nearly all documents of that language and size do, or is flagged as ambiguous and scores less than
+    ``ABOVE_CHANCE`` times what it would by chance.  If no document has a language to learn from, those with a letter
+    cannot be told apart and go too.
     """
     small_batches(spark)
-    model = language_codes.learn(docs)
-    found = language_codes.predicted(F.col("text"), model)
-    unlike = found["ambiguous"] & (found["score"] < ABOVE_CHANCE / max(1, len(model.languages)))
-    return docs.where((found["lang"] != language_codes.UNDETERMINED) & ~unlike)
+    model, cuts = language_codes.learn_calibrated(docs)
+    found = language_codes.predicted(F.col("text"), model, cuts)
+    by_chance = found["ambiguous"] & (found["score"] < ABOVE_CHANCE / max(1, len(model.languages)))
+    return docs.where((found["lang"] != language_codes.UNDETERMINED) & ~(by_chance | found["unlike"]))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

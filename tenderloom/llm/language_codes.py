@@ -28,6 +28,11 @@ UNDETERMINED = "und"
 LETTER = r"\p{L}"
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 HELD_OUT_OF, HELD_OUT = 4, 2
+# Calibration of the rejecting score: this share of a language's own documents of a size may lie below, at least so many
+# documents are needed, scores beyond a limit are as good as it, and a margin is left. The latter two are log-odds.
+REJECTED, LEAST_CALIBRATING, SURE, MARGIN = 0.005, 20, 4.0, 1.0
+BANDS = 64
+PASSAGE_WORDS, PASSAGES_AT_ONCE = 12, 256
 
 
 class Model(NamedTuple):
@@ -62,9 +67,14 @@ def codewords(languages: int):
 
 def features(texts: list[str], size: int = FEATURES):
     """Square roots of the frequencies of hashed letter n-grams (1 to 3 bytes); words are set apart by spaces."""
+    return features_and_bands(texts, size)[0]
+
+
+def features_and_bands(texts: list[str], size: int = FEATURES):
+    """The features, and the bits of the number of bytes that they count: how much text a score rests on."""
     import numpy as np
 
-    rows = np.zeros((len(texts), size), np.float32)
+    rows, bands = np.zeros((len(texts), size), np.float32), np.zeros(len(texts), np.int64)
     for k, text in enumerate(texts):
         data = np.frombuffer(f" {NOT_LETTERS.sub(' ', text.lower()).strip()} ".encode(), np.uint8).astype(np.uint32)
         pairs = data[:-1] << 8 | data[1:]
@@ -73,7 +83,8 @@ def features(texts: list[str], size: int = FEATURES):
             hashed = (grams + np.uint32(n << 24)) * np.uint32(2654435761)
             rows[k] += np.bincount(hashed >> np.uint32(32 - size.bit_length() + 1), minlength=size)
         rows[k] = np.sqrt(rows[k] / max(1.0, rows[k].sum()))
-    return rows
+        bands[k] = len(data).bit_length()
+    return rows, bands
 
 
 def fit(rows, labels: list[str], steps: int = 300) -> Model:
@@ -110,8 +121,71 @@ def decode(model: Model, rows):
     return share.argmax(axis=1), share.max(axis=1), share.max(axis=1) < AMBIGUOUS
 
 
+def calibrated(rows, bands, labels: list[str]):
+    """Least scores (languages x bands) of texts that are like their language, in the order of ``fit``'s languages.
+
+    Each half of the sample is scored by a model of the other half.  A cut comes from documents of about the same size
+    that were decoded to their own language, or from smaller ones, which score less, if these are few.  It is 0
+    where there are too few of both.
+    """
+    import numpy as np
+
+    languages = sorted(set(labels))
+    own = np.array([languages.index(label) for label in labels], np.int64)
+    odds, right = np.zeros(len(labels)), np.zeros(len(labels), bool)
+    for half in (0, 1):
+        seen, unseen = np.arange(half, len(labels), 2), np.arange(1 - half, len(labels), 2)
+        model = fit(rows[seen], [labels[i] for i in seen])
+        if model.languages == languages and len(unseen):
+            best, share, _ = decode(model, rows[unseen])
+            odds[unseen], right[unseen] = np.log(np.maximum(share, 1e-9) / np.maximum(1 - share, 1e-9)), best == own[unseen]
+    cuts = np.zeros((len(languages), BANDS))
+    for k in range(len(languages)):
+        mine = right & (own == k)
+        for band in range(BANDS):
+            for low in range(band - 1, -2, -1):
+                like = mine & (bands >= low) & (bands <= band + 1)
+                if like.sum() >= LEAST_CALIBRATING:
+                    cut = np.quantile(np.minimum(odds[like], SURE), REJECTED, method="lower") - MARGIN
+                    cuts[k, band] = 1 / (1 + np.exp(-cut))
+                    break
+    return cuts
+
+
+def several_languages(model: Model, cuts, text: str) -> bool:
+    """Whether a text that scores little as a whole changes between learnt languages.
+
+    At least half of its passages reach the cut of their best language and size, and a tenth of these is not of the
+    most frequent language.
+    """
+    import numpy as np
+
+    words, seen = text.split(), 0
+    passages = [" ".join(words[k : k + PASSAGE_WORDS]) for k in range(0, len(words), PASSAGE_WORDS)]
+    like = np.zeros(len(model.languages), np.int64)
+    for first in range(0, len(passages), PASSAGES_AT_ONCE):
+        x, bands = features_and_bands(passages[first : first + PASSAGES_AT_ONCE])
+        best, share, _ = decode(model, x)
+        cut = cuts[best, bands]
+        like += np.bincount(best[(share >= cut) & (cut > 0)], minlength=len(like))
+        seen += int((cut > 0).sum())
+    return seen > 0 and 2 * like.sum() >= seen and 10 * (like.sum() - like.max()) >= like.sum() > 0
+
+
 def learn(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """A model from the text and non-null lang of documents that are not held out."""
+    rows, _, labels = sampled(docs, per_language)
+    return fit(rows, labels)
+
+
+def learn_calibrated(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE):
+    """The same model, and the least scores of ``calibrated``."""
+    rows, bands, labels = sampled(docs, per_language)
+    return fit(rows, labels), calibrated(rows, bands, labels)
+
+
+def sampled(docs: DataFrame, per_language: int):
+    """Features, bands and languages of a bounded sample of documents that are not held out."""
     small_batches(docs.sparkSession)
     usable = docs.select(
         F.col("doc_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"), F.col("lang").alias("lang")
@@ -119,32 +193,34 @@ def learn(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     usable = usable.where(~F.coalesce(held_out(F.col("id")), F.lit(False)))
     sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return fit(features([]), [])
+        return *features_and_bands([]), []
     whole = 1 << 30
     cuts = [x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(whole, whole * per_language // n)))]
     chosen = usable.where(F.pmod(F.xxhash64("id"), F.lit(whole)) < F.element_at(F.create_map(*cuts), F.col("lang")))
 
     def rows(batches) -> Iterator:
         for batch in batches:
-            found = [x.astype("<f2").tobytes() for x in features(batch["text"].tolist())]
-            yield pd.DataFrame({"id": batch["id"], "lang": batch["lang"], "x": found})
+            found, bands = features_and_bands(batch["text"].tolist())
+            found = [x.astype("<f2").tobytes() for x in found]
+            yield pd.DataFrame({"id": batch["id"], "lang": batch["lang"], "x": found, "band": bands})
 
     import numpy as np
 
     # About per_language rows of 8 KB for each language.
-    sample = chosen.select("id", "lang", "text").mapInPandas(rows, "id string, lang string, x binary").collect()
+    sample = chosen.select("id", "lang", "text").mapInPandas(rows, "id string, lang string, x binary, band long").collect()
     sample.sort(key=lambda r: (r["lang"], r["id"] or "", r["x"]))
     x = np.frombuffer(b"".join(bytes(r["x"]) for r in sample), "<f2").astype(np.float32).reshape(len(sample), FEATURES)
-    return fit(x, [r["lang"] for r in sample])
+    return x, np.array([r["band"] for r in sample], np.int64), [r["lang"] for r in sample]
 
 
-def predicted(text: Column, model: Model) -> Column:
-    """struct(lang, score, ambiguous) of each whole text.
+def predicted(text: Column, model: Model, cuts=None) -> Column:
+    """struct(lang, score, ambiguous, unlike) of each whole text.
 
     A null text, or one without a letter, is ``und`` with score 0 and not ambiguous; so is every text if no language
-    was learnt.
+    was learnt.  A text is unlike all languages if its score is below the cut of its best language and size
+    and its passages are not of several.
     """
-    @F.pandas_udf("lang string, score double, ambiguous boolean")
+    @F.pandas_udf("lang string, score double, ambiguous boolean, unlike boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:
         import numpy as np
         import regex
@@ -153,14 +229,18 @@ def predicted(text: Column, model: Model) -> Column:
         rows = texts_of(texts)
         known = np.array([bool(model.languages) and letter(t) is not None for t in rows], bool)
         lang, score = np.full(len(rows), UNDETERMINED, object), np.zeros(len(rows))
-        unsure = np.zeros(len(rows), bool)
+        unsure, unlike = np.zeros(len(rows), bool), np.zeros(len(rows), bool)
         at = np.flatnonzero(known)
         for first, last in slices([rows[i] for i in at]):
             part = at[first:last]
-            best, share, close = decode(model, features([rows[i] for i in part]))
+            x, bands = features_and_bands([rows[i] for i in part])
+            best, share, close = decode(model, x)
             lang[part] = [model.languages[b] for b in best]
             score[part], unsure[part] = share, close
-        return pd.DataFrame({"lang": lang, "score": score, "ambiguous": unsure})
+            if cuts is not None:
+                low = np.flatnonzero(share < cuts[best, bands])
+                unlike[part[low]] = [not several_languages(model, cuts, rows[part[i]]) for i in low]
+        return pd.DataFrame({"lang": lang, "score": score, "ambiguous": unsure, "unlike": unlike})
 
     return predict(text.cast("string"))
 

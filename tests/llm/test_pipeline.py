@@ -1,5 +1,7 @@
 """The stages one by one and together."""
 
+import random
+
 import corpus_pipeline
 import public_tokenizers  # noqa: F401
 from llm_rows import frame
@@ -32,3 +34,22 @@ def test_stages_keep_the_columns_and_clean_rows(spark, sf, odd, empty):
     assert last(spark, empty, sf).collect() == []
     kept = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, odd, sf).collect()}
     assert kept == {1, None, 3, 4, 5, 6, 7, 9, -5}
+
+
+def test_unlearnt_languages_and_gibberish_go_and_clean_documents_stay(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("text RLIKE '[a-z]'")
+    unlearnt = docs.where("lang = 'de' AND length(text) > 300").selectExpr("doc_id + 1000000 AS doc_id", "text")
+    draw = random.Random(5)
+    letters = [("abcdefghijklmnopqrstuvwxyz    ", 2_000_000), ("абвгдежзийклмнопрст    ", 3_000_000)]
+    rows = [(n + k, "".join(draw.choices(x, k=700))) for x, n in letters for k in range(30)]
+    en, fr = (" ".join(r["text"] for r in docs.where(f"lang = '{g}'").limit(3).collect())[:600] for g in ("en", "fr"))
+    rows.append((4_000_000, f"{en} {fr}"))
+    planted = unlearnt.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    clean = docs.where("lang <> 'de'").select("doc_id", "text", "lang")
+    kept = corpus_pipeline.identify_language(spark, clean.unionByName(planted, allowMissingColumns=True), sf)
+    kept = {r["doc_id"] for r in kept.select("doc_id").collect()}
+    assert len({i for i in kept if i < 1_000_000}) >= 0.995 * clean.count()
+    assert len({i for i in kept if 1_000_000 <= i < 2_000_000}) <= 0.1 * unlearnt.count()
+    assert not {i for i in kept if 2_000_000 <= i < 4_000_000}
+    assert 4_000_000 in kept
