@@ -43,10 +43,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group; those without id or words are in no group."""
-    copies = bottom_k.near_duplicates(docs, SIMILARITY).where(~F.col("kept")).select("doc_id").distinct()
-    copies = staged(copies, "copies").withColumnRenamed("doc_id", "_copy")
-    return docs.join(copies, F.col("doc_id") == F.col("_copy"), "left_anti")
+    """Keeps one row of each group, that with the smallest id; those without words are in no group.
+
+    Texts are judged, not ids: an id may stand on several texts or rows.  Rows without id form a group for each set of
+    shingles.
+    """
+    judged = bottom_k.decisions(docs, SIMILARITY)
+    judged = staged(judged.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "repeated"), "judged")
+    own = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (bottom_k.text_key() == F.col("_key"))
+    others = docs.join(judged, own, "left_anti")
+    # Of rows with one id and text, one stays whatever their other columns are.
+    again = docs.join(judged.where("repeated").drop("repeated"), own)
+    return others.unionByName(again.dropDuplicates(["_id", "_key"]).select(*docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import math
 from collections.abc import Iterator
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderloom.llm.common import kept_in_worker, small_batches, staged, texts_of
@@ -106,7 +106,7 @@ def _signed(values):
 
 
 def sketches(docs: DataFrame, words: int = WORDS, k: int = K) -> DataFrame:
-    """doc_id, n_shingles, class (null without shingles), sketch of every row."""
+    """doc_id, key (of the text), n_shingles, class (null without shingles), sketch of every row."""
 
     def rows(batches) -> Iterator:
         import pandas as pd
@@ -116,6 +116,7 @@ def sketches(docs: DataFrame, words: int = WORDS, k: int = K) -> DataFrame:
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"].astype("Int64"),
+                    "key": batch["key"],
                     "n_shingles": [len(s) for s in sets],
                     "class": pd.array([_class(s) if len(s) else None for s in sets], dtype="Int64"),
                     "sketch": [_signed(s[:k]) for s in sets],
@@ -123,8 +124,18 @@ def sketches(docs: DataFrame, words: int = WORDS, k: int = K) -> DataFrame:
             )
 
     small_batches(docs.sparkSession)
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInPandas(rows, f"doc_id long, {SETS}")
+    narrow = _narrow(docs)
+    return narrow.mapInPandas(rows, f"doc_id long, key long, {SETS}")
+
+
+def text_key() -> Column:
+    """A number of a row's text: with the id it tells texts apart, without making their sets again."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def _narrow(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string").alias("text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, text_key().alias("key"))
 
 
 def _prefix_lists(classes: DataFrame, similarity: Fraction, k: int) -> DataFrame:
@@ -325,6 +336,14 @@ def near_duplicates(
     with nothing.  A null doc_id has no name: such a row links with nothing and is kept, with component_id null.
     Repeated rows are equal texts of one document.  Columns other than doc_id and text are not read.
     """
+    rows, names = _grouped(docs, similarity, words, k, short, block)
+    smallest = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
+    out = rows.join(names, "class", "left").select("doc_id", "n_shingles", smallest.alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _grouped(docs: DataFrame, similarity: Fraction, words: int, k: int, short: int, block: int):
+    """The sketches of all rows; and class, found (smallest doc_id reachable), group (smallest class) of named classes."""
     rows = staged(sketches(docs, words, k), "sketches")
     named = rows.where("class IS NOT NULL AND doc_id IS NOT NULL")
     first = F.min(F.struct("doc_id", "n_shingles", "sketch")).alias("r")
@@ -335,9 +354,31 @@ def near_duplicates(
     own = classes.select("class", F.col("doc_id").alias("own"))
     found = found.join(own, "class")
     smallest = found.groupBy("component").agg(F.min("own").alias("linked"))
-    found = found.join(staged(smallest, "smallest"), "component").select("class", "linked")
-    names = own.join(found, "class", "left").select("class", F.coalesce("linked", "own").alias("found"))
-    names = staged(names, "names")
-    smallest = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
-    out = rows.join(names, "class", "left").select("doc_id", "n_shingles", smallest.alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    found = found.join(staged(smallest, "smallest"), "component").select("class", "linked", "component")
+    names = own.join(found, "class", "left").select(
+        "class", F.coalesce("linked", "own").alias("found"), F.coalesce("component", "class").alias("group")
+    )
+    return rows, staged(names, "names")
+
+
+def decisions(
+    docs: DataFrame, similarity: Fraction, words: int = WORDS, k: int = K, short: int = SHORT_LIST, block: int = BLOCK
+) -> DataFrame:
+    """doc_id, key, repeated: texts under an id of which not every row stays.
+
+    One row of each group stays, that with the smallest doc_id (then key).  It is named here, as ``repeated``, if
+    several rows have that id and text; all others of the group are named with ``repeated`` false.  Rows with a null
+    doc_id link with nothing, but those of one class are a group.  Rows without words are in no group.
+    """
+    rows, names = _grouped(docs, similarity, words, k, short, block)
+    rows = rows.where("class IS NOT NULL").select("doc_id", "key", "class")
+    texts = staged(rows.groupBy("doc_id", "key", "class").agg(F.count("*").alias("times")), "texts")
+    placed = texts.where("doc_id IS NOT NULL").join(names, "class").select("doc_id", "key", "times", "group")
+    placed = placed.withColumn("named", F.lit(True)).unionByName(
+        texts.where("doc_id IS NULL").select("doc_id", "key", "times", F.col("class").alias("group"), F.lit(False).alias("named"))
+    )
+    placed = staged(placed, "placed")
+    first = placed.groupBy("group", "named").agg(F.min(F.struct("doc_id", "key")).alias("first"))
+    judged = placed.join(staged(first, "firsts"), ["group", "named"])
+    stays = F.struct("doc_id", "key").eqNullSafe(F.col("first"))
+    return judged.where(~stays | (F.col("times") > 1)).select("doc_id", "key", stays.alias("repeated"))

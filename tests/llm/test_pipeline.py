@@ -53,3 +53,19 @@ def test_unlearnt_languages_and_gibberish_go_and_clean_documents_stay(spark):
     assert len({i for i in kept if 1_000_000 <= i < 2_000_000}) <= 0.1 * unlearnt.count()
     assert not {i for i in kept if 2_000_000 <= i < 4_000_000}
     assert 4_000_000 in kept
+
+
+def test_one_row_of_each_group_whatever_the_ids(spark, sf):
+    base = [f"w{k}" for k in range(60)]
+    x, near, y = " ".join(base), " ".join([*base[:-1], "other"]), "a unique text of seven words here"
+    z, q = "rows that come again and again", "rows without any id at all"
+    rows = [(3, x), (5, x), (5, y), (7, z), (7, z), (7, z.upper()), (8, z), (3, near), (None, q), (None, q), (None, q + " ")]
+    rows += [(None, None), (None, None), (11, ""), (11, "")]
+    df = frame(spark, [(i, t, g) for (i, t), g in zip(rows, ["en", "fr", None] * 5)])
+    out = corpus_pipeline.drop_near_duplicates(spark, df, sf)
+    assert out.schema == df.schema
+    kept = [(r["doc_id"], (r["text"] or "").lower().strip()) for r in out.collect()]
+    threes = [t for i, t in kept if i == 3]
+    assert len(threes) == 1 and threes[0] in (x, near)
+    assert sorted(t for i, t in kept if i not in (3, 11) and t) == sorted([y, z, q])
+    assert sorted(map(str, kept)) == sorted(map(str, [(3, threes[0]), (5, y), (7, z), (None, q), (None, ""), (None, ""), (11, ""), (11, "")]))
