@@ -192,23 +192,19 @@ def _estimated(pairs: DataFrame, classes: DataFrame, similarity: Fraction, k: in
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, representatives: DataFrame, words: int) -> DataFrame:
-    """class, values (unsigned 64-bit, little-endian): the whole sets of the wanted classes, from their texts."""
+    """class, values (unsigned 64-bit, little-endian): the whole set of each wanted class, from one text."""
 
     def rows(batches) -> Iterator:
         import pandas as pd
 
         for batch in batches:
             sets = [shingle_set(t, words) for t in texts_of(batch["text"])]
-            # An id that stands on other texts too finds them here; only the text of the class counts.
-            own = [c == _class(s) for c, s in zip(batch["class"], sets)]
-            out = pd.DataFrame({"class": batch["class"], "values": [s.tobytes() for s in sets]})
-            yield out[own]
+            yield pd.DataFrame({"class": batch["class"], "values": [s.tobytes() for s in sets]})
 
-    one = wanted.join(representatives.select("class", "doc_id"), "class")
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = narrow.join(one, "doc_id").select("class", "text")
-    sets = texts.mapInPandas(rows, "class long, values binary")
-    return sets
+    one = wanted.join(representatives.select("class", "doc_id", "key"), "class")
+    # Rows that come again are reduced within each task before their texts are dealt out and made to sets.
+    texts = _narrow(docs).join(one, ["doc_id", "key"]).groupBy("class").agg(F.first("text").alias("text"))
+    return texts.mapInPandas(rows, "class long, values binary")
 
 
 def _linked(x, y, similarity: Fraction) -> bool:
@@ -346,7 +342,7 @@ def _grouped(docs: DataFrame, similarity: Fraction, words: int, k: int, short: i
     """The sketches of all rows; and class, found (smallest doc_id reachable), group (smallest class) of named classes."""
     rows = staged(sketches(docs, words, k), "sketches")
     named = rows.where("class IS NOT NULL AND doc_id IS NOT NULL")
-    first = F.min(F.struct("doc_id", "n_shingles", "sketch")).alias("r")
+    first = F.min(F.struct("doc_id", "key", "n_shingles", "sketch")).alias("r")
     classes = staged(named.groupBy("class").agg(first).select("class", "r.*"), "classes")
     candidates = _candidates(classes, similarity, k, short)
     found = components(_family_links(docs, classes, candidates, similarity, words, k, block))

@@ -7,6 +7,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 from llm_rows import ODD, frame
+from pyspark.sql import functions as F
 
 from tenderloom.llm import bottom_k, queries
 
@@ -106,3 +107,14 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(100)] + [(500, 400)], "a long, b long")
     got = {r["class"]: r["component"] for r in bottom_k.components(links).collect()}
     assert got == {**dict.fromkeys(range(101), 0), 400: 400, 500: 400}
+
+
+def test_a_class_has_one_full_set_however_often_its_row_comes(spark):
+    base = [f"w{k}" for k in range(60)]
+    rows = [(5, " ".join(base))] * 50 + [(5, " ".join(base).upper())] * 5 + [(6, " ".join([*base[:-1], "other"])), (5, "other text")]
+    df = frame(spark, [(i, t, None) for i, t in rows])
+    first = "min(struct(doc_id, key)) AS r"
+    classes = bottom_k.sketches(df).groupBy("class").agg(F.expr(first)).select("class", "r.*")
+    sets = bottom_k._full_sets(df, classes.select("class"), classes, bottom_k.WORDS).collect()
+    assert len(sets) == classes.count() == 3
+    assert all(bottom_k._class(np.frombuffer(r["values"], np.uint64)) == r["class"] for r in sets)
