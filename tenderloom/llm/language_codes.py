@@ -4,8 +4,8 @@ Every language has a codeword of +1 and -1.  For each bit a binary classifier (l
 character n-gram frequencies) predicts it; the language whose codeword has the least logistic loss against
 all predictions wins.  A document whose two best languages lie close together is flagged as ambiguous.
 
-The classifiers learn from at most about ``SAMPLE_PER_LANGUAGE`` documents of each language, those with the smallest
-hashes of their ids.
+The classifiers learn from at most ``SAMPLE_PER_LANGUAGE`` different documents of each language, those with the smallest
+hashes of id and text.
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenderloom.llm.common import small_batches, slices, texts_of
+from tenderloom.llm.common import small_batches, slices, staged, texts_of
 
 SAMPLE_PER_LANGUAGE = 1_000
 FEATURES = 4_096
@@ -191,12 +191,13 @@ def sampled(docs: DataFrame, per_language: int):
         F.col("doc_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"), F.col("lang").alias("lang")
     ).where("lang IS NOT NULL AND text IS NOT NULL")
     usable = usable.where(~F.coalesce(held_out(F.col("id")), F.lit(False)))
-    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
-        return *features_and_bands([]), []
-    whole = 1 << 30
-    cuts = [x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(whole, whole * per_language // n)))]
-    chosen = usable.where(F.pmod(F.xxhash64("id"), F.lit(whole)) < F.element_at(F.create_map(*cuts), F.col("lang")))
+    usable = usable.withColumn("h", F.xxhash64("id", "text"))
+    # Equal rows count once.  The smallest hashes of a language: so many of each task, then of all.
+    numbers = usable.select("lang", "h").distinct()
+    first = Window.partitionBy("lang").orderBy("h")
+    least = staged(numbers.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language), "sample")
+    chosen = usable.join(F.broadcast(least.select("lang", "h")), ["lang", "h"])
+    chosen = chosen.groupBy("lang", "h").agg(F.first("id").alias("id"), F.first("text").alias("text"))
 
     def rows(batches) -> Iterator:
         for batch in batches:
@@ -206,7 +207,7 @@ def sampled(docs: DataFrame, per_language: int):
 
     import numpy as np
 
-    # About per_language rows of 8 KB for each language.
+    # At most per_language rows of 8 KB for each language.
     sample = chosen.select("id", "lang", "text").mapInPandas(rows, "id string, lang string, x binary, band long").collect()
     sample.sort(key=lambda r: (r["lang"], r["id"] or "", r["x"]))
     x = np.frombuffer(b"".join(bytes(r["x"]) for r in sample), "<f2").astype(np.float32).reshape(len(sample), FEATURES)

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderloom.llm.common import small_batches, texts_of
+from tenderloom.llm.common import small_batches, staged, texts_of
 
 SAMPLE = 6_000
 LEAST_DOCUMENTS = 3
@@ -160,8 +160,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pd.DataFrame({"id": batch["id"], "toxic": batch["toxic"], "words": found})
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    # About `sample` ids and their labels, whatever the size of the tables.
-    texts = texts.join(F.broadcast(chosen), "id")
+    # About `sample` ids and their labels, whatever the size of the tables; at most `sample` different rows of theirs.
+    texts = texts.join(F.broadcast(chosen), "id").withColumn("h", F.xxhash64("id", "text"))
+    least = staged(texts.select("h").distinct().orderBy("h").limit(sample), "sample")
+    texts = texts.join(F.broadcast(least), "h").groupBy("h", "id", "toxic").agg(F.first("text").alias("text"))
     known = texts.select("id", "toxic", "text").mapInPandas(rows, "id long, toxic int, words string").collect()
     known.sort(key=lambda r: (r["id"], r["words"]))
     words, toxic = [set(map(sys.intern, r["words"].split())) for r in known], [r["toxic"] for r in known]

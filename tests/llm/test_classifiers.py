@@ -212,3 +212,22 @@ def test_odd_urls(spark):
 def test_no_ruled_url(spark, urls):
     df = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
     assert [r["verdict"] for r in url_markov.judge(df).collect()] == ["allow"] * len(urls)
+
+
+# --- samples ---------------------------------------------------------------------------------------
+
+
+def test_samples_are_bounded_whatever_the_ids(spark, monkeypatch):
+    rows = [(None, f"abc def {k}", "xx") for k in range(300)] + [(3, f"ghi jkl {k}", "yy") for k in range(300)]
+    rows += [(3, "ghi jkl 0", "yy")] * 300 + [(k, "mno pqr", "zz") for k in range(8)]
+    df = frame(spark, rows)
+    _, _, labels = language_codes.sampled(df, 50)
+    assert (labels.count("xx"), labels.count("yy")) == (50, 50) and 0 < labels.count("zz") <= 8
+    assert language_codes.sampled(frame(spark, rows[300:301] * 40), 50)[2] == ["yy"]
+
+    seen = []
+    monkeypatch.setattr(ordinal_toxicity, "marks_of", lambda words, toxic: seen.append(len(words)) or {})
+    monkeypatch.setattr(ordinal_toxicity, "fit", lambda *a: None)
+    ordinal_toxicity.learn(df, spark.createDataFrame([(3, 1), (4, 0)], "doc_id long, toxic int"), sample=50)
+    ordinal_toxicity.learn(frame(spark, rows[300:301] * 40), spark.createDataFrame([(3, 1)], "doc_id long, toxic int"))
+    assert seen == [50, 1]
