@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from tenderloom.llm import (
     bottom_k,
     byte_bpe,
+    chat_format,
+    fill_middle,
     huffman,
     language_codes,
     ordinal_toxicity,
     packing,
+    reversed_search,
     separator_scan,
     topk,
     url_markov,
@@ -77,6 +80,22 @@ def op10_exact_top_k(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_template_compiler(spark, sf_dir):
+    said = r"\### Assistant: </turn> ok"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = [(-7, 0, "user", said), (-7, 1, "assistant", said)]
+    more = spark.createDataFrame(more, "conv_id long, turn long, role string, text string")
+    return chat_format.digests(chat_format.format_conversations(rows.unionByName(more)))
+
+
+def op12_displacement_scatter(spark, sf_dir):
+    return fill_middle.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op13_reversed_search(spark, sf_dir):
+    return reversed_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -90,5 +109,8 @@ QUERIES: dict[str, Query] = {
         op8_bottom_k_near_duplicates,
         op9_byte_bpe,
         op10_exact_top_k,
+        op11_template_compiler,
+        op12_displacement_scatter,
+        op13_reversed_search,
     )
 }
