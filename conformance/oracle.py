@@ -515,6 +515,19 @@ def _planted_with(body: str) -> str:
     return _with([*(f"planted_{t.name}" for t in FACTS), BUYERS.name, SUPPLIERS.name, CATALOG.name], body)
 
 
+def _same_key(a: str, b: str, keys: tuple[str, ...]) -> str:
+    return " AND ".join(f"{a}.{k} IS NOT DISTINCT FROM {b}.{k}" for k in keys)
+
+
+def _stored_bids() -> str:
+    return f"SELECT * REPLACE (CASE WHEN nro_linea <> 6 THEN nro_oferta END AS nro_oferta) FROM {BID_LINES.name}"
+
+
+def _incoming_bids() -> str:
+    twice = "CAST(cantidad_ofertada * 2 AS DECIMAL(18,4)) AS cantidad_ofertada"
+    return f"SELECT * REPLACE ({twice}) FROM ({_stored_bids()}) WHERE EXTRACT(YEAR FROM fecha_oferta_presentada) = 1996"
+
+
 def _payload(name: str) -> str:
     return ", ".join(c for c in STAGING[name].names[:-4])
 
@@ -578,6 +591,13 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY ALL ORDER BY carteles_publicados DESC, nombre_institucion LIMIT 20""",
         ),
         "upsert_stored": _all(BUYERS.name),
+        "upsert_fact": _with(
+            (BID_LINES.name,),
+            f"""
+            SELECT * FROM ({_stored_bids()}) s
+            WHERE NOT EXISTS (SELECT 1 FROM ({_incoming_bids()}) i WHERE {_same_key("i", "s", BID_LINES.primary_key)})
+            UNION ALL SELECT * FROM ({_incoming_bids()})""",
+        ),
         "staging_append_twice": _with(
             ("stg_carteles",),
             f"""

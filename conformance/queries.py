@@ -104,6 +104,22 @@ def upsert_stored(spark, sf_dir):
     return read_model(spark, target, BUYERS)
 
 
+def upsert_fact(spark, sf_dir):
+    """Bid lines with copied and null keys, published; those presented in 1996 come back with twice the quantity, twice."""
+    target = work_folder(spark, "model")
+    no_key = F.when(F.col("nro_linea") != 6, F.col("nro_oferta"))
+    write_table(
+        build_bid_lines(spark, sf_dir).withColumn("nro_oferta", no_key), run_folder(target, "first", BID_LINES.name)
+    )
+    publish(spark, target, "first", [BID_LINES.name])
+    of_1996 = F.year("fecha_oferta_presentada") == 1996
+    for _ in range(2):
+        first = read_table(spark, run_folder(target, "first", BID_LINES.name), BID_LINES).where(of_1996)
+        twice = (F.col("cantidad_ofertada") * 2).cast(MONEY)
+        upsert_table(spark, target, BID_LINES, first.withColumn("cantidad_ofertada", twice))
+    return read_model(spark, target, BID_LINES)
+
+
 # --- functions ------------------------------------------------------------------------------------
 
 
@@ -571,6 +587,7 @@ QUERIES: dict[str, Query] = {
     "latest_buyer_dim": latest_buyer_dim,
     "upsert_latest": upsert,
     "upsert_stored": upsert_stored,
+    "upsert_fact": upsert_fact,
     "product_codes_union": product_codes_union,
     "valid_product_codes": valid_product_codes,
     "distinct_product_codes": distinct_product_codes,

@@ -356,3 +356,171 @@ def test_work_folder(spark):
     assert first != second
     if root:
         assert first.startswith(root)
+
+
+# --- complete loads, claims and plans -------------------------------------------------------------
+
+
+def test_readers_see_complete_loads_only(spark, staged, month, tmp_path, monkeypatch):
+    from tenderloom.streaming import staging_stream
+
+    target, manifest = str(tmp_path / "stg_ofertas"), str(tmp_path / "manifest")
+    write_staging(staged("stg_ofertas", [{"nro_sicop": "S0", "etl_period": "202512"}]), target)
+    month("202601", "S1,x,O1,P1,f,t\n")
+    root = month("202602", "S2,x,O2,P1,f,t\n")
+    record, seen = staging_stream._record, []
+
+    def look(spark_, folder, kind, rows, schema):
+        if kind == "done":
+            seen.append(history(spark, target))  # written, not yet recorded
+        record(spark_, folder, kind, rows, schema)
+
+    monkeypatch.setattr(staging_stream, "_record", look)
+    load(spark, root, target, manifest, files_per_batch=1)
+    assert seen == [["S0"], ["S0", "S1"]] and history(spark, target) == ["S0", "S1", "S2"]
+    # A load whose folder is there without a record does not exist for readers.
+    staged("stg_ofertas", [{"nro_sicop": "half"}]).drop("etl_period").write.parquet(f"{target}/load=half/etl_period=202601")
+    assert history(spark, target) == ["S0", "S1", "S2"]
+
+
+def test_a_snapshot_stays_when_loads_are_added_or_replaced(spark, staged, tmp_path):
+    target = str(tmp_path / "stg_ofertas")
+    write_staging(staged("stg_ofertas", [{"nro_sicop": "S1", "etl_period": "202601"}]), target, "one")
+    before = read_staging_table(spark, target, "stg_ofertas")
+    write_staging(staged("stg_ofertas", [{"nro_sicop": "S2", "etl_period": "202601"}]), target, "one")
+    write_staging(staged("stg_ofertas", [{"nro_sicop": "S3", "etl_period": "202601"}]), target)
+    assert [r.nro_sicop for r in before.collect()] == ["S1"]
+    assert history(spark, target) == ["S2", "S3"]
+
+
+def test_a_folder_without_a_record_is_read_whole_and_taken_over(spark, staged, tmp_path):
+    target = str(tmp_path / "stg_ofertas")
+    row = staged("stg_ofertas", [{"nro_sicop": "S1"}]).drop("etl_period")
+    for load_id in ("a", "b"):
+        row.write.parquet(f"{target}/load={load_id}/etl_period=202601")
+    assert history(spark, target) == ["S1", "S1"]
+    write_staging(staged("stg_ofertas", [{"nro_sicop": "S2", "etl_period": "202601"}]), target)
+    assert history(spark, target) == ["S1", "S1", "S2"]
+
+
+def test_two_loaders_at_once_load_every_file_once(spark, month, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    target, manifest = str(tmp_path / "stg_ofertas"), str(tmp_path / "manifest")
+    for k in range(1, 7):
+        root = month(f"2026{k:02d}", f"S{k},x,O{k},P1,f,t\n")
+    with ThreadPoolExecutor(3) as pool:
+        for done in [pool.submit(load, spark, root, target, manifest, files_per_batch=1) for _ in range(3)]:
+            done.result()
+    assert history(spark, target) == [f"S{k}" for k in range(1, 7)]
+
+
+def test_the_batch_of_a_killed_loader_is_taken_up_when_its_lease_is_over(spark, month, tmp_path, monkeypatch):
+    from tenderloom.sources.records import SharedState
+    from tenderloom.streaming import staging_stream
+
+    target, manifest = str(tmp_path / "stg_ofertas"), str(tmp_path / "manifest")
+    root = month("202601", "S1,x,O1,P1,f,t\n")
+
+    def killed(*_):
+        raise KeyboardInterrupt  # and, below, its claim put back: nothing of it is left to clean up
+
+    monkeypatch.setattr(staging_stream, "write_load", killed)
+    with pytest.raises(KeyboardInterrupt):
+        load(spark, root, target, manifest)
+    monkeypatch.undo()
+    record = SharedState(spark, f"{manifest}/record")
+    (plan,) = [v for k, v in record.state().items() if k.startswith("plan ")]
+    record.change(lambda s: {f"claim {plan[0]}": {"by": "killed", "at": staging_stream.time.time()}})
+    load(spark, root, target, manifest)
+    assert history(spark, target) == []
+    load(spark, root, target, manifest, lease_sec=0)
+    assert history(spark, target) == ["S1"]
+    assert not [k for k in record.state() if k.startswith("claim ")]
+    load(spark, root, target, manifest, lease_sec=0)
+    assert history(spark, target) == ["S1"]
+
+
+def test_batches_are_bounded_by_files_and_bytes():
+    from collections import namedtuple
+
+    from tenderloom.streaming.staging_stream import _batches
+
+    File = namedtuple("File", "path length")
+    files = [File(p, n) for p, n in (("a", 5), ("b", 5), ("c", 1), ("d", 30), ("e", 1), ("f", 1), ("g", 1), ("h", 1))]
+    one = {f.path: ["t"] for f in files}
+    names = [[f.path for f in b] for b in _batches(files, one, 3, 10)]
+    assert names == [["a", "b"], ["c"], ["d"], ["e", "f", "g"], ["h"]]
+    two = {**one, "b": ["t", "u"]}
+    assert [[f.path for f in b] for b in _batches(files[:3], two, 9, 99)] == [["a"], ["b"], ["c"]]
+
+
+def test_a_table_asked_for_later_takes_the_archives_that_others_have(spark, tmp_path):
+    root, staging, manifest = (str(tmp_path / n) for n in ("zips", "staging", "manifest"))
+    lines = "nro_sicop,nro_oferta,nro_linea,codigo_producto_cl,cantidad_ofertada,precio_unitario_ofertado,tipo_moneda,tipo_cambio_crc\n"
+    for k, period in enumerate(("202601", "202602")):
+        write_zip(f"{root}/datos_{period}.zip", {"Ofertas.csv": HEADER + f"S{k},x,O1,P,f,t\n", "Lineas.csv": lines + f"L{k},O1,1,c,1,2,x,1\n"})
+    append_archives(spark, root, staging, manifest, {"Ofertas.csv": "stg_ofertas"})
+    both = {"Ofertas.csv": "stg_ofertas", "Lineas.csv": "stg_lineas_ofertadas"}
+    write_zip(f"{root}/datos_202603.zip", {"Ofertas.csv": HEADER + "S2,x,O1,P,f,t\n", "Lineas.csv": lines + "L2,O1,1,c,1,2,x,1\n"})
+    for _ in range(2):
+        append_archives(spark, root, staging, manifest, both)
+    assert history(spark, f"{staging}/stg_ofertas") == ["S0", "S1", "S2"]
+    bid_lines = read_staging_table(spark, f"{staging}/stg_lineas_ofertadas", "stg_lineas_ofertadas").collect()
+    assert sorted((r.nro_sicop, r.etl_period, r.source_file) for r in bid_lines) == [
+        ("L0", "202601", "Lineas.csv"), ("L1", "202602", "Lineas.csv"), ("L2", "202603", "Lineas.csv"),
+    ]
+
+
+# --- archives dealt out by size -------------------------------------------------------------------
+
+
+def test_archives_are_packed_by_size():
+    from tenderloom.sources.archives import packed
+
+    sizes = [100, 1, 1, 50, 50, 0, 0, 49]
+    entries = [(f"z{i}", "a.csv", "a.csv", n) for i, n in enumerate(sizes)]
+    plan = packed(entries, 8)
+    assert sorted(t for t, *_ in plan) == list(range(8))  # none idle, none with two
+    per_task = {}
+    for task, path, *_ in packed(entries, 3):
+        per_task[task] = per_task.get(task, 0) + sizes[int(path[1:])]
+    assert sorted(per_task.values()) == [52, 99, 100]
+    # Members stay together, unless there are tasks to spare and the archive is more than a task's share.
+    two = [("z", "a", "a", 10), ("z", "b", "b", 10), ("y", "a", "a", 1), ("y", "b", "b", 1)]
+    assert len({t for t, p, *_ in packed(two, 8) if p == "z"}) == 2
+    assert len({t for t, p, *_ in packed(two, 2) if p == "z"}) == 1
+    assert packed([], 4) == []
+
+
+def test_an_archive_is_opened_once_for_all_its_members(spark, tmp_path):
+    """The plan has one line per member; a task groups them by archive, however many there are."""
+    from tenderloom.sources import archives
+
+    for k in range(5):
+        write_zip(f"{tmp_path}/z/datos_20260{k + 1}.zip", {f"{m}.csv": f"K,V\n{m}{k},{i}\n" for i, m in enumerate("ab")})
+    paths = [f"{tmp_path}/z/datos_20260{k + 1}.zip" for k in range(5)]
+    columns = {"a.csv": ["k", "v"], "b.csv": ["v"]}
+    rows = archives.read_archives(spark, paths, columns, tasks=5)
+    assert rows.rdd.getNumPartitions() == 5
+    got = sorted((r.member, r.c0, r.c1) for r in rows.collect())
+    assert got == sorted([("a.csv", f"a{k}", "0") for k in range(5)] + [("b.csv", "1", None)] * 5)
+    sizes = rows.groupBy(F.spark_partition_id()).agg(F.count_distinct("archive").alias("n")).collect()
+    assert [r.n for r in sizes] == [1] * 5
+    opened, real = [], archives._open
+    code = archives.read_entries(spark.createDataFrame([], "task int, path string, name string, member string"), columns)
+    assert code.columns == ["member", "archive", "c0", "c1"] and code.collect() == []
+    with pytest.MonkeyPatch.context() as patch:  # the work of one task, in this process
+        patch.setattr(archives, "_open", lambda uri: opened.append(uri) or real(uri))
+        lines = [{"task": 0, "path": p, "name": f"{m}.csv", "member": f"{m}.csv"} for m in "ab" for p in paths]
+        assert sum(b.num_rows for b in archives._unzipped(lines, columns, ",", "UTF-8")) == 10
+    assert sorted(opened) == paths
+
+
+def test_directories_tell_sizes(spark, tmp_path):
+    from tenderloom.sources.archives import directory, list_archives
+
+    write_zip(f"{tmp_path}/z/x.zip", {"d/A.CSV": "k\n" + "1\n" * 500, "other.csv": "k\n"})
+    write_zip(f"{tmp_path}/z/y.zip", {"other.csv": "k\n"})
+    found = directory(list_archives(spark, f"{tmp_path}/z"), ["a.csv"]).collect()
+    assert [(r.name, r.member, r.size) for r in found] == [("d/A.CSV", "a.csv", 1002)]

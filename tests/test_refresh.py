@@ -3,8 +3,8 @@ import pytest
 from conformance import fixtures as fx
 from tenderloom.operators.quality import ConstraintError
 from tenderloom.plans.refresh import full_refresh, read_rejected
-from tenderloom.schemas import BUYERS, MODEL
-from tenderloom.sources.tables import read_model, upsert_table
+from tenderloom.schemas import BID_LINES, BUYERS, MODEL
+from tenderloom.sources.tables import publish, read_model, read_published, run_folder, upsert_table, write_table
 
 SF = "/root/testdata/sf0.001"
 CODE = "4321150101234567"
@@ -155,3 +155,125 @@ def test_spread_facts_equal_plain_ones(spark, no_broadcast):
     for build in builds:
         spread, plain = build(1), build(10**6)
         assert spread.exceptAll(plain).isEmpty() and spread.count() == plain.count()
+
+
+def stored(spark, target, rows, run="first"):
+    """Bid lines (offer, line, supplier) published as a run of several files."""
+    struct = BID_LINES.struct()
+    records = [tuple({"nro_sicop": "S", "nro_oferta": o, "nro_linea": n, "cedula_proveedor": p}.get(c) for c in BID_LINES.names) for o, n, p in rows]
+    df = spark.createDataFrame(records, struct)
+    write_table(df.repartitionByRange(4, "nro_oferta", "cedula_proveedor"), run_folder(target, run, BID_LINES.name))
+    publish(spark, target, run, [BID_LINES.name])
+    return lambda more: spark.createDataFrame(
+        [tuple({"nro_sicop": "S", "nro_oferta": o, "nro_linea": n, "cedula_proveedor": p}.get(c) for c in BID_LINES.names) for o, n, p in more],
+        struct,
+    )
+
+
+def bid_rows(spark, target):
+    rows = read_model(spark, target, BID_LINES).collect()
+    return sorted(((r.nro_oferta, r.nro_linea, r.cedula_proveedor) for r in rows), key=str)
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_upsert_leaves_untouched_copies_and_null_keys(spark, tmp_path, request, spread):
+    if spread:
+        request.getfixturevalue("no_broadcast")
+    target = str(tmp_path / "model")
+    old = [("a", 1, "x"), ("a", 1, "y"), (None, 1, "n1"), (None, 1, "n2"), ("b", 1, "z")]
+    rows = stored(spark, target, old)
+    upsert_table(spark, target, BID_LINES, rows([("c", 1, "w")]))
+    assert bid_rows(spark, target) == sorted([*old, ("c", 1, "w")], key=str)
+    # Several incoming rows of a key stand for all its old ones, and a null key is a key.
+    new = [("a", 1, "p"), ("a", 1, "q"), ("a", 1, "q"), (None, 1, "m"), ("b", 2, "v")]
+    for _ in range(2):
+        upsert_table(spark, target, BID_LINES, rows(new))
+        assert bid_rows(spark, target) == sorted([*new, ("b", 1, "z"), ("c", 1, "w")], key=str)
+    before = read_published(spark, target, BID_LINES.name)
+    upsert_table(spark, target, BID_LINES, rows([]))
+    assert read_published(spark, target, BID_LINES.name) == before
+
+
+def test_upsert_rewrites_only_files_that_hold_a_key(spark, tmp_path):
+    target = str(tmp_path / "model")
+    rows = stored(spark, target, [(f"o{k:03d}", 1, "p") for k in range(200)])
+    files = set(read_model(spark, target, BID_LINES).inputFiles())
+    assert len(files) == 4
+    upsert_table(spark, target, BID_LINES, rows([("o007", 1, "new"), ("o008", 2, "new"), ("zzz", 1, "new")]))
+    after = set(read_model(spark, target, BID_LINES).inputFiles())
+    assert len(files & after) == 3 and all("run=first" not in f for f in after - files)
+    assert read_model(spark, target, BID_LINES).count() == 202
+    # The next version starts from the listed files and keeps those of both runs.
+    upsert_table(spark, target, BID_LINES, rows([("o199", 1, "newer")]))
+    last = set(read_model(spark, target, BID_LINES).inputFiles())
+    assert len(last & files) == 2 and read_model(spark, target, BID_LINES).count() == 202
+    assert {r for r in bid_rows(spark, target) if r[2] != "p"} == {
+        ("o007", 1, "new"), ("o008", 2, "new"), ("zzz", 1, "new"), ("o199", 1, "newer"),
+    }
+
+
+def test_upsert_scans_no_file_outside_the_key_ranges(spark, tmp_path):
+    from tenderloom.sources import tables
+
+    target = str(tmp_path / "model")
+    rows = stored(spark, target, [(f"o{k:03d}", 1, "p") for k in range(200)] + [(None, 1, "p")])
+    ranges = tables._listed(spark, target, BID_LINES.name, BID_LINES.struct(), ["nro_oferta"], {"run": "first"})
+    assert ranges.agg({"n_rows": "sum"}).first()[0] == 201
+    keys = rows([("o001", 1, ""), ("o199", 1, "")]).select("nro_oferta")
+    assert len(tables._may_hold(ranges, keys, "nro_oferta")) == 2
+    assert len(tables._may_hold(ranges, rows([(None, 1, "")]).select("nro_oferta"), "nro_oferta")) == 1
+    assert tables._may_hold(ranges, rows([("p", 1, "")]).select("nro_oferta"), "nro_oferta") == []
+
+
+def test_a_version_of_a_run_that_is_no_longer_published_is_refused(spark, tmp_path, monkeypatch):
+    from tenderloom.sources import tables
+
+    target = str(tmp_path / "model")
+    rows = stored(spark, target, [("a", 1, "x")])
+    replace = tables.replace_keys
+
+    def overtaken(*args, **kwargs):
+        made = replace(*args, **kwargs)
+        monkeypatch.undo()
+        upsert_table(spark, target, BID_LINES, rows([("b", 1, "fast")]))
+        return made
+
+    monkeypatch.setattr(tables, "replace_keys", overtaken)
+    with pytest.raises(tables.OvertakenError):
+        upsert_table(spark, target, BID_LINES, rows([("c", 1, "slow")]))
+    assert bid_rows(spark, target) == [("a", 1, "x"), ("b", 1, "fast")]
+
+
+def test_reading_creates_nothing(spark, tmp_path):
+    with pytest.raises(ValueError, match="no run of"):
+        read_model(spark, str(tmp_path / "typo"), BUYERS)
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_shared_state_of_many_writers(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tenderloom.sources.records import SharedState
+
+    path = str(tmp_path / "state")
+    assert SharedState(spark, path).state() == {} and not SharedState(spark, path).exists()
+
+    def add(worker):
+        for k in range(15):
+            SharedState(spark, path).change(lambda s: {"sum": s.get("sum", 0) + 1, f"w{worker}": k, "gone": None})
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(add, range(8)))
+    assert SharedState(spark, path).state() == {"sum": 120, **{f"w{w}": 14 for w in range(8)}}
+    assert SharedState(spark, path).change(lambda s: None)["sum"] == 120
+    assert len(list((tmp_path / "state").iterdir())) == 120
+
+
+def test_shared_state_through_a_store_that_only_spark_reaches(spark, tmp_path):
+    from tenderloom.sources.records import SharedState
+
+    state = SharedState(spark, str(tmp_path / "state"))
+    state._local = None
+    for k in range(3):
+        state.change(lambda s: {"n": s.get("n", 0) + 1, "text": "é"})
+    assert not state._create(2, "{}") and state.state() == {"n": 3, "text": "é"}
