@@ -715,6 +715,10 @@ def oracle_sql() -> dict[str, str]:
         "build_tender_lines": _all(TENDER_LINES.name),
         "build_bid_lines": _all(BID_LINES.name),
         "build_award_lines": _all(AWARD_LINES.name),
+        "incremental_tender_lines": _all(TENDER_LINES.name),
+        "incremental_bid_lines": _all(BID_LINES.name),
+        "incremental_award_lines": _all(AWARD_LINES.name),
+        "incremental_catalog": _all(CATALOG.name),
         "pk_violations": _with((TENDER_LINES.name,), _duplicates(TENDER_LINES, TENDER_LINES.primary_key)),
         "unique_violations": _with((BID_LINES.name,), _duplicates(BID_LINES, BID_LINES.unique)),
         "not_null_violations": _with(

@@ -14,6 +14,7 @@ from tenderloom.functions import casts, text
 from tenderloom.operators import quality
 from tenderloom.operators.latest import latest_by, upsert_latest
 from tenderloom.plans import catalog, dimensions, facts, refresh, reports
+from tenderloom.plans.incremental import incremental_refresh
 from tenderloom.schemas import (
     AWARD_LINES,
     BID_LINES,
@@ -323,6 +324,37 @@ def build_award_lines(spark, sf_dir):
     )
 
 
+def _incremental(spark, sf_dir, table: Table, *sources: str) -> DataFrame:
+    """A model table after three incremental refreshes: the newest periods come first, then the oldest, then the rest."""
+    staging, target = work_folder(spark, "staging"), work_folder(spark, "model")
+    period = F.coalesce("etl_period", F.lit(""))
+    for part in (period > "199706", period <= "199412", (period > "199412") & (period <= "199706")):
+        for name in sources:
+            write_staging(fx.STAGING_VIEWS[name](spark, sf_dir).where(part), f"{staging}/{name}")
+        incremental_refresh(spark, staging, target, [table])
+    return read_model(spark, target, table)
+
+
+def incremental_tender_lines(spark, sf_dir):
+    return _incremental(spark, sf_dir, TENDER_LINES, "stg_lineas_carteles", "stg_carteles")
+
+
+def incremental_bid_lines(spark, sf_dir):
+    return _incremental(spark, sf_dir, BID_LINES, "stg_lineas_ofertadas", "stg_ofertas")
+
+
+def incremental_award_lines(spark, sf_dir):
+    return _incremental(spark, sf_dir, AWARD_LINES, "stg_lineas_adjudicadas", "stg_procedimientos_adjudicacion")
+
+
+def incremental_catalog(spark, sf_dir):
+    """The catalog from mention counts that are added up load by load."""
+    return _incremental(
+        spark, sf_dir, CATALOG, "stg_lineas_carteles", "stg_lineas_ofertadas", "stg_lineas_adjudicadas",
+        "stg_procedimientos_adjudicacion",
+    )
+
+
 # --- quality --------------------------------------------------------------------------------------
 
 
@@ -600,6 +632,10 @@ QUERIES: dict[str, Query] = {
     "build_tender_lines": build_tender_lines,
     "build_bid_lines": build_bid_lines,
     "build_award_lines": build_award_lines,
+    "incremental_tender_lines": incremental_tender_lines,
+    "incremental_bid_lines": incremental_bid_lines,
+    "incremental_award_lines": incremental_award_lines,
+    "incremental_catalog": incremental_catalog,
     "pk_violations": pk_violations,
     "unique_violations": unique_violations,
     "not_null_violations": not_null_violations,

@@ -50,6 +50,14 @@ def mention_counts(valid: DataFrame) -> DataFrame:
     return valid.groupBy("cod_producto", "descr").agg(F.count("*").alias("n"))
 
 
+def merged_counts(*counts: DataFrame) -> DataFrame:
+    """Mention counts of parts of the history added up; they equal the counts of the whole."""
+    together = counts[0]
+    for more in counts[1:]:
+        together = together.unionByName(more)
+    return together.groupBy("cod_producto", "descr").agg(F.sum("n").alias("n"))
+
+
 def description_counts(valid: DataFrame) -> DataFrame:
     return mention_counts(valid.where(F.col("descr").isNotNull()))
 

@@ -14,23 +14,25 @@ from tenderloom.sources.tables import to_contract
 LOADED = ("loaded_at",)
 
 
-def latest_suppliers(suppliers: DataFrame) -> DataFrame:
+def newest_suppliers(suppliers: DataFrame) -> DataFrame:
+    """The last loaded row of every supplier, with the columns of staging that the dimension needs."""
     needed = suppliers.select(
-        "cedula_proveedor",
-        "nombre_proveedor",
-        "tipo_proveedor",
-        F.col("tamaÑo_proveedor").alias("tamano"),
-        "zona_geo_prov",
-        "loaded_at",
+        "cedula_proveedor", "nombre_proveedor", "tipo_proveedor", "tamaÑo_proveedor", "zona_geo_prov", "loaded_at"
     )
     return latest_by(needed, ["cedula_proveedor"], LOADED)
 
 
+def newest_buyers(buyers: DataFrame) -> DataFrame:
+    needed = buyers.select("cedula", "nombre_institucion", "zona_geo_inst", "loaded_at")
+    return latest_by(needed, ["cedula"], LOADED)
+
+
+def latest_suppliers(suppliers: DataFrame) -> DataFrame:
+    return newest_suppliers(suppliers).withColumnRenamed("tamaÑo_proveedor", "tamano")
+
+
 def latest_buyers(buyers: DataFrame) -> DataFrame:
-    needed = buyers.select(
-        F.col("cedula").alias("cedula_institucion"), "nombre_institucion", "zona_geo_inst", "loaded_at"
-    )
-    return latest_by(needed, ["cedula_institucion"], LOADED)
+    return newest_buyers(buyers).withColumnRenamed("cedula", "cedula_institucion")
 
 
 def supplier_dimension(suppliers: DataFrame) -> DataFrame:

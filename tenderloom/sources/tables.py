@@ -11,7 +11,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -167,6 +167,10 @@ def _version(state: dict, target: str, name: str) -> dict:
     return state[name]
 
 
+# Where an incremental refresh notes the loads that it has taken in and the runs that it made.
+LOADS = "staging loads"
+
+
 def read_models(spark: SparkSession, target: str, *tables: Table) -> list[DataFrame]:
     """The published versions of several tables, as of one moment."""
     state = published(spark, target).state()
@@ -208,11 +212,10 @@ def _read_files(spark: SparkSession, target: str, schema: T.StructType, paths: S
 
 def _file_ranges(files: DataFrame, keys: Sequence[str]) -> DataFrame:
     """path (below the model's folder), n_rows, and of each key column lo, hi and the number of nulls, per file."""
-    path = F.regexp_extract("_metadata.file_path", r"(run=[^/]+/[^/]+/[^/]+)$", 1)
     stats = [F.count("*").alias("n_rows")]
     for i, key in enumerate(keys):
         stats += [F.min(key).alias(f"lo_{i}"), F.max(key).alias(f"hi_{i}"), F.count_if(F.col(key).isNull()).alias(f"nulls_{i}")]
-    return files.groupBy(path.alias("path")).agg(*stats)
+    return files.groupBy(_file_path().alias("path")).agg(*stats)
 
 
 def _listed(spark, target, name, schema, keys, version: dict | None) -> DataFrame | None:
@@ -253,6 +256,29 @@ def _null_safe(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]
     return df, names
 
 
+def _file_path() -> Column:
+    return F.regexp_extract("_metadata.file_path", r"(run=[^/]+/[^/]+/[^/]+)$", 1)
+
+
+def read_keys(
+    spark: SparkSession,
+    target: str,
+    name: str,
+    schema: T.StructType,
+    version: dict | None,
+    keys: DataFrame,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """The rows under ``keys`` (distinct rows; two nulls are equal), from the files whose ranges may hold them."""
+    ranges = _listed(spark, target, name, schema, keys.columns, version)
+    if ranges is None:
+        return spark.createDataFrame([], schema)
+    rows = _read_files(spark, target, schema, _may_hold(ranges, keys, keys.columns[0]))
+    wanted, names = _null_safe(keys, keys.columns)
+    rows, _ = _null_safe(rows, keys.columns)
+    return spread_join(rows, wanted.select(*names), names, "left_semi", hot_rows).select(*schema.names)
+
+
 def replace_keys(
     spark: SparkSession,
     target: str,
@@ -280,14 +306,14 @@ def replace_keys(
         wanted = wanted.select(*names)
         candidates = _read_files(spark, target, schema, _may_hold(ranges, keys, on[0]))
         if candidates.inputFiles():
-            path = F.regexp_extract("_metadata.file_path", r"(run=[^/]+/[^/]+/[^/]+)$", 1)
-            narrow = _null_safe(candidates.select(*on, path.alias("path")), on)[0].select("path", *names)
+            narrow = _null_safe(candidates.select(*on, _file_path().alias("path")), on)[0].select("path", *names)
             held = spread_join(narrow, wanted, names, "left_semi", hot_rows)
             touched = [r.path for r in held.select("path").distinct().collect()]
         old, _ = _null_safe(_read_files(spark, target, schema, touched), on)
         rows = spread_join(old, wanted, names, "left_anti", hot_rows).select(*schema.names).unionByName(rows.select(*schema.names))
     folder = run_folder(target, run, name)
-    write_table(rows.hint("rebalance"), folder, sort_by)
+    # By ranges of the first key column, so that later keys meet few files; rows of a large key are spread by their hash.
+    write_table(rows.repartitionByRange(on[0], F.xxhash64(*schema.names)), folder, sort_by)
     added = _file_ranges(spark.read.schema(schema).parquet(folder), on)
     if ranges is not None:
         gone = spark.createDataFrame([(p,) for p in touched], "path string")
