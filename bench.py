@@ -20,9 +20,9 @@ sys.path.insert(0, str(ROOT))
 from conformance import fixtures as fx  # noqa: E402
 from conformance import queries as registered  # noqa: E402
 from tenderloom.plans import catalog, dimensions, facts, refresh, reports  # noqa: E402
-from tenderloom.schemas import AWARD_LINES, BUYERS, SUPPLIERS, TENDER_LINES  # noqa: E402
+from tenderloom.schemas import AWARD_LINES, BUYERS, SUPPLIERS  # noqa: E402
 from tenderloom.session import local_session, work_folder  # noqa: E402
-from tenderloom.sources.tables import load_folder, read_model, read_staging  # noqa: E402
+from tenderloom.sources.tables import load_folder, read_models, read_staging  # noqa: E402
 
 
 def main() -> None:
@@ -41,19 +41,16 @@ def main() -> None:
     lines, bid_lines = st["stg_lineas_carteles"], st["stg_lineas_ofertadas"]
     awards, procedures = st["stg_lineas_adjudicadas"], st["stg_procedimientos_adjudicacion"]
 
-    def model(table):
-        return read_model(spark, model_at, table)
-
     queries = {
         "full_refresh": lambda: refresh.full_refresh(spark, st, model_at),
         "supplier_buyer_ranking": lambda: registered.supplier_buyer_ranking(spark, sf_dir),
         "awards_by_buyer_for_supplier": lambda: registered.awards_by_buyer_for_supplier(spark, sf_dir),
         "top_buyers_by_month": lambda: registered.top_buyers_by_month(spark, sf_dir),
         "model_supplier_buyer_ranking": lambda: reports.supplier_buyer_ranking(
-            model(AWARD_LINES), model(BUYERS), model(SUPPLIERS)
+            *read_models(spark, model_at, AWARD_LINES, BUYERS, SUPPLIERS)
         ),
-        "model_awards_by_buyer": lambda: reports.awards_by_buyer_for_supplier(model(AWARD_LINES), model(BUYERS), "7"),
-        "model_top_buyers": lambda: reports.top_buyers_by_month(model(TENDER_LINES), model(BUYERS), 1996, 1),
+        "model_awards_by_buyer": lambda: reports.model_awards_by_buyer(spark, model_at, "7"),
+        "model_top_buyers": lambda: reports.model_top_buyers(spark, model_at, 1996, 1),
         "latest_line": lambda: facts.latest_tender_lines(lines),
         "latest_award_line": lambda: facts.latest_award_lines(awards),
         "build_supplier_dim": lambda: dimensions.supplier_dimension(st["stg_proveedores"]),

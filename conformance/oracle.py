@@ -485,6 +485,18 @@ def _kinds(table: Table) -> str:
     return "(" + " + ".join(f"CASE WHEN {t} THEN 1 ELSE 0 END" for t in tests) + ")"
 
 
+def _reasons(table: Table) -> str:
+    """The rules that row f breaks, each with its columns and limit."""
+    tests = [(f"{rule} {target}" + (f" > {table.lengths[target]}" if rule == "length" else ""), broken)
+             for rule, target, broken in _row_rules(table)]
+    for rule, keys in (("primary_key", table.primary_key), ("unique", table.unique)):
+        if keys:
+            same = " AND ".join(f"d.{k} = f.{k}" for k in keys)
+            tests.append((f"{rule} {'+'.join(keys)}", f"(SELECT COUNT(*) FROM planted_{table.name} d WHERE {same}) > 1"))
+    tests += [(fk.name, _orphan_test(table, i)) for i, fk in enumerate(table.foreign_keys)]
+    return "concat_ws('; ', " + ", ".join(f"CASE WHEN {t} THEN '{reason}' END" for reason, t in tests) + ")"
+
+
 def _report_lines(t: Table, prefix: str = "") -> list[str]:
     """Counts of all rows and of those that break each rule."""
     name = f"{prefix}{t.name}"
@@ -788,6 +800,17 @@ def oracle_sql() -> dict[str, str]:
                 ]
             ),
         ),
+        "quarantine_reasons": _planted_with(
+            "SELECT * FROM ("
+            + _union(
+                [
+                    f"SELECT '{t.name}' AS table_name, nro_sicop, nro_linea, cod_producto, {_reasons(t)} AS reasons "
+                    f"FROM planted_{t.name} f"
+                    for t in FACTS
+                ]
+            )
+            + ") WHERE reasons <> ''"
+        ),
         "fk_orphans_composite": _with(
             (AWARD_LINES.name, BID_LINES.name),
             _orphans(AWARD_LINES, 0, "nro_sicop, nro_oferta, nro_linea, cod_producto"),

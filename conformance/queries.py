@@ -75,21 +75,21 @@ def model_supplier_buyer_ranking(spark, sf_dir):
     )
 
 
-def _refreshed(spark, sf_dir, *tables: Table):
-    """Published tables of a full refresh."""
+def _refreshed(spark, sf_dir) -> str:
+    """The folder of a model after a full refresh."""
     target = work_folder(spark, "model")
     refresh.full_refresh(spark, fx.staging(spark, sf_dir), target)
-    return [read_model(spark, target, table) for table in tables]
+    return target
 
 
 def model_awards_by_buyer(spark, sf_dir):
     """The question of awards_by_buyer_for_supplier, asked of a refreshed model."""
-    return reports.awards_by_buyer_for_supplier(*_refreshed(spark, sf_dir, AWARD_LINES, BUYERS), "7")
+    return reports.model_awards_by_buyer(spark, _refreshed(spark, sf_dir), "7")
 
 
 def model_top_buyers(spark, sf_dir):
     """The question of top_buyers_by_month, asked of a refreshed model."""
-    return reports.top_buyers_by_month(*_refreshed(spark, sf_dir, TENDER_LINES, BUYERS), 1996, 1)
+    return reports.model_top_buyers(spark, _refreshed(spark, sf_dir), 1996, 1)
 
 
 def upsert_stored(spark, sf_dir):
@@ -481,6 +481,12 @@ def quarantine_rejects(spark, sf_dir):
     return _lines_of(((t, rejected) for t, _, rejected in _split(spark, sf_dir)), kinds)
 
 
+def quarantine_reasons(spark, sf_dir):
+    """Planted fact lines that break a rule, with every rule they break, its columns and its limit."""
+    reasons = F.array_join("reasons", "; ").alias("reasons")
+    return _lines_of(((t, rejected) for t, _, rejected in _split(spark, sf_dir)), reasons)
+
+
 def full_refresh_summary(spark, sf_dir):
     return refresh.full_refresh(spark, fx.staging(spark, sf_dir), work_folder(spark, "model"))
 
@@ -646,6 +652,7 @@ QUERIES: dict[str, Query] = {
     "contract_report": contract_report,
     "quarantine_clean": quarantine_clean,
     "quarantine_rejects": quarantine_rejects,
+    "quarantine_reasons": quarantine_reasons,
     "last_n_periods": last_periods,
     "csv_staging_scan": csv_staging_scan,
     "stamp_metadata": stamp_metadata,

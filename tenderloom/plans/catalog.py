@@ -62,17 +62,17 @@ def description_counts(valid: DataFrame) -> DataFrame:
     return mention_counts(valid.where(F.col("descr").isNotNull()))
 
 
-def product_names(counts: DataFrame) -> DataFrame:
+def product_names(counts: DataFrame, collation: str | None = None) -> DataFrame:
     """Most frequent description of every 16-digit code; NULL where a code has none."""
-    return most_frequent(counts, "cod_producto", "descr").withColumnRenamed("descr", "descripcion_producto")
+    return most_frequent(counts, "cod_producto", "descr", collation=collation).withColumnRenamed("descr", "descripcion_producto")
 
 
-def commodity_names(counts: DataFrame) -> DataFrame:
+def commodity_names(counts: DataFrame, collation: str | None = None) -> DataFrame:
     """Most frequent description of every 8-digit commodity, re-aggregated from the code counts."""
     summed = counts.groupBy(commodity(F.col("cod_producto")).alias("cod_mercancia"), "descr").agg(
         F.sum("n").alias("n")
     )
-    return most_frequent(summed, "cod_mercancia", "descr").withColumnRenamed("descr", "nombre_mercancia")
+    return most_frequent(summed, "cod_mercancia", "descr", collation=collation).withColumnRenamed("descr", "nombre_mercancia")
 
 
 def with_segment_name(df: DataFrame) -> DataFrame:
@@ -80,13 +80,13 @@ def with_segment_name(df: DataFrame) -> DataFrame:
     return df.join(F.broadcast(segment_names(df.sparkSession)), "segmento", "left")
 
 
-def catalog_from_counts(counts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def catalog_from_counts(counts: DataFrame, hot_rows: int = HOT_ROWS, collation: str | None = None) -> DataFrame:
     code = F.col("cod_producto")
-    products = product_names(counts).withColumn("cod_mercancia", commodity(code))
+    products = product_names(counts, collation).withColumn("cod_mercancia", commodity(code))
     # Commodities with many codes are found in the counts; asking for n keeps the shuffle shared.
     mentioned = counts.where("n > 0").select(commodity(code).alias("cod_mercancia"))
     named = spread_join(
-        products, commodity_names(counts), ["cod_mercancia"], "left", hot_rows, stats=mentioned
+        products, commodity_names(counts, collation), ["cod_mercancia"], "left", hot_rows, stats=mentioned
     )
     decoded = named.select(
         code,
@@ -105,6 +105,8 @@ def product_catalog(
     award_lines: DataFrame,
     procedures: DataFrame,
     hot_rows: int = HOT_ROWS,
+    collation: str | None = None,
 ) -> DataFrame:
+    """The catalog; ``collation`` orders descriptions that are equally frequent, binary text order if it is None."""
     valid = valid_codes(raw_codes(tender_lines, bid_lines, award_lines, procedures))
-    return catalog_from_counts(mention_counts(valid), hot_rows)
+    return catalog_from_counts(mention_counts(valid), hot_rows, collation)

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,25 @@ from tenderloom.operators.joins import HOT_ROWS, spread_join
 from tenderloom.schemas import AWARD_LINES, BID_LINES, STAGING, TENDER_LINES, Table
 from tenderloom.sources.records import SharedState, subfolders
 
-# Order inside the files of a fact, in place of secondary indexes: the columns reports filter on.
+SUPPLIER_BUCKETS = 32
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a fact is laid out in folders: by a whole number made of one column, which is not itself a column of the table."""
+
+    folder: str
+    column: str
+    number: Callable[[Column], Column]
+
+
+# In place of secondary indexes, folders and files by the columns that reports filter on.
+LAYOUTS = {
+    TENDER_LINES.name: Layout("mes_publicacion", "fecha_publicacion", lambda c: F.year(c) * 100 + F.month(c)),
+    AWARD_LINES.name: Layout(
+        "cubeta_proveedor", "cedula_proveedor", lambda c: F.pmod(F.xxhash64(c), F.lit(SUPPLIER_BUCKETS)).cast("int")
+    ),
+}
 SORT_BY = {
     TENDER_LINES.name: ("fecha_publicacion", "cedula_institucion"),
     BID_LINES.name: ("cedula_proveedor",),
@@ -114,8 +133,23 @@ def write_table(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_fact(df: DataFrame, path: str, name: str) -> None:
+    """A model table in its layout, if it has one, and sorted inside its files.
+
+    Rows are dealt out by folder; the runtime splits a folder that holds a large part of them over many tasks.  Files
+    have Bloom filters of the column that the layout is made of.
+    """
+    layout, sort_by = LAYOUTS.get(name), SORT_BY.get(name, ())
+    if layout is None:
+        write_table(df, path, sort_by)
+        return
+    rows = df.withColumn(layout.folder, layout.number(F.col(layout.column))).hint("rebalance", layout.folder)
+    writer = rows.sortWithinPartitions(layout.folder, *sort_by).write.mode("overwrite").partitionBy(layout.folder)
+    writer.option(f"parquet.bloom.filter.enabled#{layout.column}", "true").parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    return spark.read.schema(table.struct()).parquet(path)
+    return spark.read.schema(table.struct()).parquet(path).select(*table.names)
 
 
 # --- published runs of a model --------------------------------------------------------------------
@@ -134,9 +168,10 @@ def published(spark: SparkSession, target: str) -> SharedState:
     return SharedState(spark, f"{target.rstrip('/')}/published")
 
 
-def publish(spark: SparkSession, target: str, run: str, names: Sequence[str]) -> None:
-    """Make readers of these tables read this run, all at once."""
-    publish_versions(spark, target, {name: {"run": run} for name in names})
+def publish(spark: SparkSession, target: str, run: str, names: Sequence[str], laid_out: bool = False) -> None:
+    """Make readers of these tables read this run, all at once; ``laid_out`` if ``write_fact`` wrote them."""
+    layouts = {name: {"layout": LAYOUTS[name].folder} for name in names if laid_out and name in LAYOUTS}
+    publish_versions(spark, target, {name: {"run": run, **layouts.get(name, {})} for name in names})
 
 
 def publish_versions(
@@ -182,6 +217,21 @@ def read_model(spark: SparkSession, target: str, table: Table) -> DataFrame:
     return read_models(spark, target, table)[0]
 
 
+def read_where(spark: SparkSession, target: str, table: Table, value: Column) -> DataFrame:
+    """The published rows whose layout column is ``value``, from the one folder that may hold them.
+
+    Versions that an upsert or an incremental refresh has made have no such folders; they are read and filtered.
+    """
+    layout = LAYOUTS[table.name]
+    version = _version(published(spark, target).state(), target, table.name)
+    if version.get("layout") != layout.folder:
+        rows = read_version(spark, target, table.name, table.struct(), version)
+        return rows.where(layout.number(F.col(layout.column)) == layout.number(value))
+    schema = table.struct().add(layout.folder, T.IntegerType())
+    rows = spark.read.schema(schema).parquet(run_folder(target, version["run"], table.name))
+    return rows.where(F.col(layout.folder) == layout.number(value)).select(*table.names)
+
+
 # --- versions that share files --------------------------------------------------------------------
 
 _RANGES = 200
@@ -196,7 +246,7 @@ def read_version(spark: SparkSession, target: str, name: str, schema: T.StructTy
     if version is None:
         return spark.createDataFrame([], schema)
     if not version.get("files"):
-        return spark.read.schema(schema).parquet(run_folder(target, version["run"], name))
+        return spark.read.schema(schema).parquet(run_folder(target, version["run"], name)).select(*schema.names)
     listed = spark.read.parquet(_files_folder(target, version["run"], name)).select("path").collect()
     return _read_files(spark, target, schema, [r.path for r in listed])
 
@@ -257,7 +307,7 @@ def _null_safe(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]
 
 
 def _file_path() -> Column:
-    return F.regexp_extract("_metadata.file_path", r"(run=[^/]+/[^/]+/[^/]+)$", 1)
+    return F.regexp_extract("_metadata.file_path", r"(run=[^/]+/[^/]+/(?:[^/]+=[^/]*/)?[^/]+)$", 1)
 
 
 def read_keys(

@@ -197,3 +197,27 @@ def test_small_right_side_is_left_to_broadcast(spark, plan_of, skewed):
 def test_unsupported_join_type(skewed):
     with pytest.raises(ValueError):
         joins.spread_join(*skewed, ["k"], "full")
+
+
+def test_ties_follow_the_collation(spark):
+    from tenderloom.operators.mode import most_frequent, text_order
+    from tenderloom.plans import catalog
+
+    texts = ["B", "z", "á", "a"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.t for r in df.orderBy(*text_order("t", "UNICODE")).collect()] == ["a", "á", "B", "z"]
+    assert [r.t for r in df.orderBy(*text_order("t")).collect()] == ["B", "a", "z", "á"]
+    rows = [("1" * 16, t, 2) for t in ("B", "z", "á")] + [("1" * 15 + "2", t, 1) for t in ("b", "B")] + [("2" * 16, None, 5)]
+    counts = spark.createDataFrame(rows, "cod_producto string, descr string, n long")
+
+    def names(df):
+        return {r[0]: r[1] for r in df.collect()}
+
+    assert names(catalog.product_names(counts)) == {"1" * 16: "B", "1" * 15 + "2": "B", "2" * 16: None}
+    assert names(catalog.product_names(counts, "UNICODE")) == {"1" * 16: "á", "1" * 15 + "2": "b", "2" * 16: None}
+    assert names(catalog.commodity_names(counts, "UNICODE")) == {"1" * 8: "B", "2" * 8: None}  # three of B in all
+    # Equal under the collation: binary order decides.
+    assert names(most_frequent(counts, "cod_producto", "descr", collation="UNICODE_CI"))["1" * 15 + "2"] == "B"
+    product = {r.cod_producto: r.descripcion_producto for r in catalog.catalog_from_counts(counts, collation="UNICODE").collect()}
+    assert product[int("1" * 16)] == "á"
+    assert dict(catalog.catalog_from_counts(counts, collation="UNICODE").dtypes)["descripcion_producto"] == "string"

@@ -89,7 +89,7 @@ def test_quarantine(spark, staged, tmp_path):
     name = "lineas_carteles"
     assert report[name, "rows", name] == 1
     assert {k[2]: n for k, n in report.items() if k[:2] == (name, "rejected")} == {
-        "unreadable cantidad": 1, "check": 1, "cod_producto -> dim_catalogo_codigo_identificacion_producto": 1,
+        "unreadable cantidad": 1, "check ck_lineas_carteles_cantidad": 1, "cod_producto -> dim_catalogo_codigo_identificacion_producto": 1,
     }
     rejected = read_rejected(spark, target, name)
     assert sorted(r.nro_linea for r in rejected.collect()) == [2, 3, 4]
@@ -277,3 +277,41 @@ def test_shared_state_through_a_store_that_only_spark_reaches(spark, tmp_path):
     for k in range(3):
         state.change(lambda s: {"n": s.get("n", 0) + 1, "text": "é"})
     assert not state._create(2, "{}") and state.state() == {"n": 3, "text": "é"}
+
+
+def test_reports_on_a_model_open_only_the_files_they_need(spark, tmp_path, plan_of):
+    from pyspark.sql import functions as F
+
+    from tenderloom.plans import reports
+    from tenderloom.schemas import AWARD_LINES, TENDER_LINES
+    from tenderloom.sources.tables import read_models, read_where
+
+    target = str(tmp_path / "model")
+    full_refresh(spark, fx.staging(spark, SF), target)
+    awards, tenders, buyers = read_models(spark, target, AWARD_LINES, TENDER_LINES, BUYERS)
+    month = F.lit("1996-01-01").cast("timestamp_ntz")
+    mine, published_then = read_where(spark, target, AWARD_LINES, F.lit("7")), read_where(spark, target, TENDER_LINES, month)
+    assert "PartitionFilters: [isnotnull(mes_publicacion" in plan_of(published_then) and "199601" in plan_of(published_then)
+    assert "PartitionFilters: [isnotnull(cubeta_proveedor" in plan_of(mine)
+
+    def files(df):
+        return df.select(F.input_file_name().alias("f")).distinct().count()
+
+    assert files(mine) * 5 < files(awards) and files(published_then) * 20 < files(tenders)
+    # The supplier's lines are all there, whoever else shares the folder.
+    assert mine.where("cedula_proveedor = '7'").count() == awards.where("cedula_proveedor = '7'").count() > 0
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    def same_answers():
+        awards, tenders = read_models(spark, target, AWARD_LINES, TENDER_LINES)
+        assert rows(reports.model_awards_by_buyer(spark, target, "7")) == rows(reports.awards_by_buyer_for_supplier(awards, buyers, "7"))
+        assert rows(reports.model_top_buyers(spark, target, 1996, 1)) == rows(reports.top_buyers_by_month(tenders, buyers, 1996, 1))
+        return len(awards.columns)
+
+    assert same_answers() == len(AWARD_LINES.names)
+    # An upsert takes the laid out files over; its answers come from a filter.
+    upsert_table(spark, target, AWARD_LINES, awards.where("cedula_proveedor = '7'").withColumn("monto_adjudicado_linea", F.lit(1).cast("decimal(18,4)")))
+    same_answers()
+    assert spark.createDataFrame([], AWARD_LINES.struct()).columns == read_model(spark, target, AWARD_LINES).columns
