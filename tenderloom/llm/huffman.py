@@ -84,7 +84,7 @@ def encode_block(ids, codes, lengths, every: int = CHECKPOINT) -> tuple[bytes, b
     # Codes don't overlap, so adding them up sets their bits; sums stay below 2**32, which doubles hold exactly.
     words = np.bincount(word, (value >> np.uint64(32)).astype(np.float64), size)
     words += np.bincount(word + 1, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), size)
-    return starts[::every].astype("<u4").tobytes(), words.astype(">u4").tobytes()
+    return starts[::every].astype("<u8").tobytes(), words.astype(">u4").tobytes()
 
 
 def decode_blocks(blocks: list[tuple[int, bytes, bytes]], table, max_bits: int, every: int = CHECKPOINT):
@@ -93,7 +93,7 @@ def decode_blocks(blocks: list[tuple[int, bytes, bytes]], table, max_bits: int,
 
     base, at, left, payload = 0, [], [], []
     for n, checkpoints, data in blocks:
-        offsets = np.frombuffer(checkpoints, "<u4").astype(np.int64)
+        offsets = np.frombuffer(checkpoints, "<u8").astype(np.int64)
         at.append(offsets + base * 32)
         left.append(np.minimum(every, n - every * np.arange(len(offsets))))
         payload.append(np.frombuffer(data, ">u4"))
@@ -118,7 +118,7 @@ def decode_blocks(blocks: list[tuple[int, bytes, bytes]], table, max_bits: int,
     flat, first, result = flat.reshape(-1), 0, []
     for n, checkpoints, _ in blocks:
         result.append(flat[first : first + n])
-        first += len(checkpoints) // 4 * every
+        first += len(checkpoints) // 8 * every
     return result
 
 

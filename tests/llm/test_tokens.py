@@ -302,3 +302,16 @@ def test_operators_take_added_tokens_as_the_library_does(spark, untouched):
     separator_scan.write_tokens(df, path, public_path(BYTE))
     counts = {r["doc_id"]: r["n_tokens"] for r in separator_scan.count_tokens(spark, path).collect()}
     assert counts == {i: len(x) - 1 for i, x in want.items()}
+
+
+def test_checkpoints_hold_offsets_of_any_block():
+    """Bit offsets are 64-bit: a block of one very long document can have more than 2**32 bits."""
+    bits = huffman.code_lengths({i: 1 for i in range(300)})
+    codes, lengths = huffman.code_table(bits)
+    ids = np.arange(2000, dtype=np.uint32) % 300
+    checkpoints, payload = huffman.encode_block(ids, codes, lengths, every=100)
+    offsets = np.frombuffer(checkpoints, "<u8")
+    assert offsets.tolist() == [int(lengths[ids[: 100 * k]].sum()) for k in range(20)]
+    table, widest = huffman.decode_table(bits)
+    (back,) = huffman.decode_blocks([(len(ids), checkpoints, payload)], table, widest, every=100)
+    assert back.tolist() == ids.tolist()
