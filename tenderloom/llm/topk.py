@@ -12,8 +12,6 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenderloom.llm.common import small_batches
-
 K = 5
 SCALE = 256
 SHARD_ROWS = 1024
@@ -46,7 +44,8 @@ def _matrices(rows: DataFrame, number: Column, name: str) -> DataFrame:
 def best_of_tile(queries, query_ids, shard, shard_ids, k: int):
     """(query position, shard position, score) of the k best of each query, best first, ties to the smaller id.
 
-    Matrices hold integers as doubles; ``shard_ids`` ascend.  Scores beyond a long's range end at its limits.
+    Matrices hold integers as doubles; ``shard_ids`` ascend.  A score beyond a long's range is an OverflowError, unless it
+    is a query's with itself, which is no candidate.
     """
     import numpy as np
 
@@ -55,10 +54,13 @@ def best_of_tile(queries, query_ids, shard, shard_ids, k: int):
         scores = queries @ shard.T
     else:
         whole = [[[int(v) for v in row] for row in m] for m in (queries, shard)]
-        scores = np.array(
-            [[max(-LONG_MAX - 1, min(LONG_MAX, sum(a * b for a, b in zip(q, s)))) for s in whole[1]] for q in whole[0]],
-            dtype=np.int64,
-        ).reshape(len(queries), len(shard))
+        exact = [
+            [0 if i == j else sum(a * b for a, b in zip(q, s)) for s, j in zip(whole[1], shard_ids)]
+            for q, i in zip(whole[0], query_ids)
+        ]
+        if any(abs(x) > LONG_MAX for row in exact for x in row):
+            raise OverflowError("a score does not fit a long")
+        scores = np.array(exact, dtype=np.int64).reshape(len(queries), len(shard))
     own = query_ids[:, None] == shard_ids[None, :]
     if scores.dtype != np.int64:
         scores = scores.astype(np.int64)
@@ -102,7 +104,6 @@ def top_k(vectors: DataFrame, query_every: int = 50, k: int = K, scale: int = SC
                         {"query_id": qi[part][q], "shard": row.shard, "vec_id": si[s], "score": score.astype(np.int64)}
                     )
 
-    small_batches(vectors.sparkSession, 4)
     rows = usable_vectors(vectors, scale)
     queries = rows.where(F.col("id") % query_every == 0).groupBy("id", "dim").agg(F.min("x").alias("x"))
     queries = queries.groupBy("id").agg(F.min(F.struct("dim", "x")).alias("q")).select("id", "q.dim", "q.x")

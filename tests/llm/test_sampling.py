@@ -94,3 +94,13 @@ def test_search_of_odd_rows(spark, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 AS id", "2 AS shard")
     assert sorted(map(tuple, topk.top_k(df).collect())) == brute(rows)
     assert topk.top_k(df.limit(0)).collect() == []
+
+
+def test_scores_beyond_a_long_are_an_error():
+    import pytest
+
+    big, ids = np.array([[2.0**32, 1.0]]), np.array([1], np.int64)
+    exact = topk.best_of_tile(big, ids, np.array([[2.0**30, 3.0]]), np.array([2], np.int64), 5)
+    assert exact[2].tolist() == [2**62 + 3]
+    with pytest.raises(OverflowError):
+        topk.best_of_tile(big, ids, big, np.array([2], np.int64), 5)
