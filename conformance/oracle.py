@@ -602,6 +602,11 @@ def oracle_sql() -> dict[str, str]:
             WHERE EXTRACT(MONTH FROM fecha_publicacion) = 1 AND EXTRACT(YEAR FROM fecha_publicacion) = 1996
             GROUP BY ALL ORDER BY carteles_publicados DESC, nombre_institucion LIMIT 20""",
         ),
+        "merged_tenders_by_supplier": f"""
+            SELECT supplier AS cedula_proveedor, COUNT(DISTINCT nro_sicop) AS carteles FROM ({_AWARDS}) GROUP BY ALL""",
+        "sketched_tenders_by_supplier": f"""
+            SELECT supplier AS cedula_proveedor, COUNT(DISTINCT nro_sicop) AS carteles, true AS within_error
+            FROM ({_AWARDS}) GROUP BY ALL""",
         "upsert_stored": _all(BUYERS.name),
         "upsert_fact": _with(
             (BID_LINES.name,),

@@ -13,7 +13,7 @@ from conformance import fixtures as fx
 from tenderloom.functions import casts, text
 from tenderloom.operators import quality
 from tenderloom.operators.latest import latest_by, upsert_latest
-from tenderloom.plans import catalog, dimensions, facts, refresh, reports
+from tenderloom.plans import catalog, dimensions, distinct_tenders, facts, refresh, reports
 from tenderloom.plans.incremental import incremental_refresh
 from tenderloom.schemas import (
     AWARD_LINES,
@@ -121,6 +121,32 @@ def upsert_fact(spark, sf_dir):
     return read_model(spark, target, BID_LINES)
 
 
+def _award_parts(spark, sf_dir) -> list[DataFrame]:
+    """Award lines in three parts by amount, so that tenders lie in several of them."""
+    awards, amount = fx.award_lines(spark, sf_dir), F.col("monto_adjudicado_linea")
+    return [awards.where(amount < 20000), awards.where((amount >= 20000) & (amount < 50000)), awards.where(amount >= 50000)]
+
+
+def merged_tenders_by_supplier(spark, sf_dir):
+    """Distinct tenders per supplier, from bitmaps per buyer and supplier made part by part."""
+    keys, numbers, parts = ["cedula_institucion", "cedula_proveedor"], None, []
+    for part in _award_parts(spark, sf_dir):
+        numbers = distinct_tenders.number_values(part, "nro_sicop", numbers)
+        parts.append(distinct_tenders.distinct_parts(part, keys, "nro_sicop", numbers))
+    return distinct_tenders.count_exactly(parts, ["cedula_proveedor"])
+
+
+def sketched_tenders_by_supplier(spark, sf_dir):
+    """Suppliers, and whether the estimate from merged sketches lies within four standard errors of the exact count."""
+    keys = ["cedula_institucion", "cedula_proveedor"]
+    sketches = [distinct_tenders.sketch_parts(part, keys, "nro_sicop") for part in _award_parts(spark, sf_dir)]
+    estimated = distinct_tenders.estimate(sketches, ["cedula_proveedor"])
+    exact = fx.award_lines(spark, sf_dir).groupBy("cedula_proveedor").agg(F.count_distinct("nro_sicop").alias("carteles"))
+    off = F.abs(F.col("carteles_estimados") - F.col("carteles"))
+    close = off <= 1 + 4 * distinct_tenders.SKETCH_ERROR * F.col("carteles")
+    return estimated.join(exact, "cedula_proveedor").select("cedula_proveedor", "carteles", close.alias("within_error"))
+
+
 # --- functions ------------------------------------------------------------------------------------
 
 
@@ -624,6 +650,8 @@ QUERIES: dict[str, Query] = {
     "latest_supplier_dim": latest_supplier_dim,
     "latest_buyer_dim": latest_buyer_dim,
     "upsert_latest": upsert,
+    "merged_tenders_by_supplier": merged_tenders_by_supplier,
+    "sketched_tenders_by_supplier": sketched_tenders_by_supplier,
     "upsert_stored": upsert_stored,
     "upsert_fact": upsert_fact,
     "product_codes_union": product_codes_union,

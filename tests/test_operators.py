@@ -221,3 +221,30 @@ def test_ties_follow_the_collation(spark):
     product = {r.cod_producto: r.descripcion_producto for r in catalog.catalog_from_counts(counts, collation="UNICODE").collect()}
     assert product[int("1" * 16)] == "á"
     assert dict(catalog.catalog_from_counts(counts, collation="UNICODE").dtypes)["descripcion_producto"] == "string"
+
+
+def test_distinct_values_of_merged_parts(spark):
+    import random
+
+    from tenderloom.plans import distinct_tenders as dt_
+
+    rnd = random.Random(4)
+    rows = [(rnd.choice("ab"), rnd.choice(["x", "y", None]), rnd.choice([None, *(f"S{i:05d}" for i in range(300))])) for _ in range(2000)]
+    rows += [("hot", "x", f"T{i}") for i in range(40_000)]
+    whole = spark.createDataFrame(rows, "buyer string, supplier string, tender string")
+    parts_of = [whole.where(F.col("tender").isNull() | (F.substring("tender", -1, 1) < "5")), whole.where("tender > 'S00100'"), whole.limit(0)]
+    numbers, parts, sketches = None, [], []
+    for part in parts_of:
+        numbers = dt_.number_values(part, "tender", numbers)
+        parts.append(dt_.distinct_parts(part, ["buyer", "supplier"], "tender", numbers))
+        sketches.append(dt_.sketch_parts(part, ["buyer", "supplier"], "tender"))
+    found = [r.number for r in numbers.collect()]
+    assert sorted(found) == list(range(len(found))) and len(found) == numbers.select("tender").distinct().count()
+    union = parts_of[0].unionByName(parts_of[1])
+    for keys in (["buyer"], ["buyer", "supplier"], []):
+        want = union.where("tender IS NOT NULL").groupBy(*keys).agg(F.count_distinct("tender").alias("carteles"))
+        assert sorted(map(str, dt_.count_exactly(parts, keys).collect())) == sorted(map(str, want.collect()))
+    assert parts[1].where("buyer = 'hot'").count() == 2  # 40,000 numbers lie in two blocks
+    want = {r.buyer: r.n for r in union.groupBy("buyer").agg(F.count_distinct("tender").alias("n")).collect()}
+    for r in dt_.estimate(sketches, ["buyer"]).collect():
+        assert abs(r.carteles_estimados - want[r.buyer]) <= 1 + 4 * dt_.SKETCH_ERROR * want[r.buyer]
