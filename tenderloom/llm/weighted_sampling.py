@@ -145,7 +145,7 @@ def _with_following(docs: DataFrame, partitions: int) -> DataFrame:
     before = F.try_element_at(table, F.col("at"))
     copies = F.when(before.isNull(), F.array(own)).otherwise(F.array(own, F.struct(before.alias("part"), F.lit(1).alias("tail"))))
     rows = rows.withColumn("copy", F.explode(copies)).select("doc_id", "text", "at", "copy.part", "copy.tail")
-    return rows.repartition(partitions, "part").sortWithinPartitions("part", "tail", "at", "text")
+    return rows.repartitionById(partitions, F.col("part")).sortWithinPartitions("part", "tail", "at", "text")
 
 
 def fingerprint(docs: DataFrame, samples: int = SAMPLES, partitions: int | None = None) -> DataFrame:
