@@ -14,8 +14,8 @@ the k smallest values of a set.  Equal sets are one class, and classes alone are
   sizes could link meet as a tile, which compares sketches first and full sets then, and returns a spanning
   forest of its links instead of all pairs.
 
-Links are exact.  Components are found by passing the smallest label along links and jumping along labels, with a
-table written every round.
+Links are exact.  Components are found by moving classes to their smallest neighbours and contracting the links, with
+tables written every round.
 """
 
 from __future__ import annotations
@@ -303,23 +303,31 @@ def _family_links(docs, classes: DataFrame, candidates: DataFrame, similarity: F
 
 
 def components(links: DataFrame) -> DataFrame:
-    """class, component (the smallest class reachable) of every class that a link (a, b) names.
+    """class, component (the smallest class reachable) of every class that a link (a, b) of two names.
 
-    Each round a class takes the smallest label among its own and its neighbours', then the label of that
-    label.  Rounds end when nothing changes; each is written, so that lineage and memory stay bounded.
+    Each round a class moves to the smallest of its neighbours, if that is smaller, and on to where that one moves.
+    Links then join the places their ends have moved to, and those within one place are gone: every link takes its
+    larger end away, so few are left after a round or two.  Rounds end with the last link; each is written, so that
+    lineage and memory stay bounded.
     """
-    edges = staged(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = staged(edges.groupBy("a").agg(F.least("a", F.min("b")).alias("label")), "labels")
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    edges = staged(links.where("a <> b").select(low, high).distinct(), "links")
+    found = None
     while True:
-        seen = edges.join(labels.select(F.col("a").alias("b"), F.col("label").alias("near")), "b")
-        near = seen.groupBy("a").agg(F.min("near").alias("near"))
-        joined = labels.join(near, "a").select("a", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        far = labels.select(F.col("a").alias("label"), F.col("label").alias("far"))
-        labels = staged(joined.join(far, "label").select("a", "old", F.least("label", "far").alias("label")), "labels")
-        changed = labels.where("old <> label").limit(1).count()
-        labels = labels.select("a", "label")
-        if not changed:
-            return labels.select(F.col("a").alias("class"), F.col("label").alias("component"))
+        ends = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = staged(ends.groupBy("a").agg(F.least("a", F.min("b")).alias("label")), "near")
+        far = near.select(F.col("a").alias("label"), F.col("label").alias("far"))
+        moves = staged(near.join(far, "label").select("a", F.least("label", "far").alias("label")), "moves")
+        if found is None:
+            found = moves
+        else:
+            on = moves.select(F.col("a").alias("label"), F.col("label").alias("far"))
+            found = staged(found.join(on, "label", "left").select("a", F.coalesce("far", "label").alias("label")), "labels")
+        moved = edges.join(moves.withColumnRenamed("label", "x"), "a")
+        moved = moved.join(moves.select(F.col("a").alias("b"), F.col("label").alias("y")), "b").where("x <> y")
+        edges = staged(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        if edges.isEmpty():
+            return found.select(F.col("a").alias("class"), F.col("label").alias("component"))
 
 
 def near_duplicates(

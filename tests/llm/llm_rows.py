@@ -1,7 +1,7 @@
 """Rows that several tests use."""
 
 SF = "/root/testdata/sf0.001"
-CLASHING = ("class", "part", "row", "length", "lang_pred", "value", "component", "text_")
+CLASHING = ("class", "part", "row", "length", "lang_pred", "value", "component", "text_", "_id", "_key", "judged_id", "repeated")
 
 
 def frame(spark, rows):

@@ -69,3 +69,15 @@ def test_one_row_of_each_group_whatever_the_ids(spark, sf):
     assert len(threes) == 1 and threes[0] in (x, near)
     assert sorted(t for i, t in kept if i not in (3, 11) and t) == sorted([y, z, q])
     assert sorted(map(str, kept)) == sorted(map(str, [(3, threes[0]), (5, y), (7, z), (None, q), (None, ""), (None, ""), (11, ""), (11, "")]))
+
+
+def test_of_repeated_rows_the_first_by_the_other_columns_stays(spark, sf):
+    text = "rows that differ in their other columns alone"
+    rows = [(1, text, lang, "s", n) for lang, n in (("fr", 1), ("en", 7), ("en", 3), (None, 9))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, schema).selectExpr("*", "map('k', lang) AS m", "'x' AS judged_key").repartition(3)
+        (kept,) = corpus_pipeline.drop_near_duplicates(spark, df, sf).collect()
+        assert (kept.lang, kept.n_chars, kept.m) == (None, 9, {"k": None})
+        some = corpus_pipeline.drop_near_duplicates(spark, df.where("lang IS NOT NULL"), sf).collect()
+        assert [(r.lang, r.n_chars) for r in some] == [("en", 3)]
