@@ -11,6 +11,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenderloom.llm import bottom_k, language_codes, ordinal_toxicity, packing
 from tenderloom.llm.common import small_batches, staged, table
@@ -46,15 +47,28 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Keeps one row of each group, that with the smallest id; those without words are in no group.
 
     Texts are judged, not ids: an id may stand on several texts or rows.  Rows without id form a group for each set of
-    shingles.
+    shingles.  Of rows with one id and one text the first in the order of their other columns stays.
     """
     judged = bottom_k.decisions(docs, SIMILARITY)
-    judged = staged(judged.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "repeated"), "judged")
-    own = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (bottom_k.text_key() == F.col("_key"))
+    id_, key = _free_name(docs, "judged_id"), _free_name(docs, "judged_key")
+    judged = staged(judged.select(F.col("doc_id").alias(id_), F.col("key").alias(key), "repeated"), "judged")
+    own = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (bottom_k.text_key() == F.col(key))
     others = docs.join(judged, own, "left_anti")
-    # Of rows with one id and text, one stays whatever their other columns are.
-    again = docs.join(judged.where("repeated").drop("repeated"), own)
-    return others.unionByName(again.dropDuplicates(["_id", "_key"]).select(*docs.columns))
+    # Rows that come again are few or none: written apart, their list is seen to be small and the texts are not dealt out.
+    repeated = staged(judged.where("repeated").drop("repeated"), "repeated")
+    again = docs.join(repeated, own)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    order = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)]
+    first = F.min_by(F.struct(*columns), F.struct(*order))
+    return others.unionByName(again.groupBy(id_, key).agg(first.alias("row")).select("row.*"))
+
+
+def _free_name(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
