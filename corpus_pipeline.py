@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,10 +57,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     # Rows that come again are few or none: written apart, their list is seen to be small and the texts are not dealt out.
     repeated = staged(judged.where("repeated").drop("repeated"), "repeated")
     again = docs.join(repeated, own)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
     order = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)]
-    first = F.min_by(F.struct(*columns), F.struct(*order))
-    return others.unionByName(again.groupBy(id_, key).agg(first.alias("row")).select("row.*"))
+    # The rank filter reduces the rows of a task before they are dealt out, however often a row comes.
+    rank = _free_name(docs, "judged_rank")
+    again = again.withColumn(rank, F.row_number().over(Window.partitionBy(id_, key).orderBy(*order)))
+    return others.unionByName(again.where(F.col(rank) == 1).select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def _free_name(docs: DataFrame, name: str) -> str:
