@@ -1,7 +1,8 @@
 """Distinct tenders per group in a form that adds up: parts of the data are reduced once and merged for any question.
 
 A distinct count of a whole cannot be had from the counts of its parts.  Two forms can be merged instead.  The exact
-one numbers the tenders and keeps, per group and block of 32,768 numbers, a bitmap; merging is a bitwise or.  The sketch is
+one numbers the tenders and keeps, per group and block of 32,768 numbers, those words of a bitmap that are not empty;
+merging is a bitwise or.  A sparse group is thus no larger than its pairs, and words are merged in hash tables.  The sketch is
 HyperLogLog, smaller and approximate, and has a name of its own: no exact question is ever answered by it.  Groups
 can be any columns, such as buyer, supplier and month; a report merges them into the groups it asks for.
 """
@@ -48,24 +49,38 @@ def number_values(df: DataFrame, value: str, known: DataFrame | None = None) ->
 def distinct_parts(
     df: DataFrame, keys: Sequence[str], value: str, numbers: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """keys, block, bits: the numbers of a group's values as bitmaps.  A group of NULL values alone has no row."""
+    """keys, block, bits: the numbers of a group's values as bitmaps.  A group of NULL values alone has no row.
+
+    ``bits`` are the words of a bitmap that are not empty, (word, bits) each.
+    """
     pairs = df.select(*keys, value).distinct()
     numbered = spread_join(pairs, numbers, [value], "inner", hot_rows)
-    block, bit = F.bitmap_bucket_number("number"), F.bitmap_bit_position("number")
-    return numbered.groupBy(*keys, block.alias("block")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    block, word = F.shiftright("number", 15).alias("block"), F.expr("cast((number >> 6) & 511 AS smallint)").alias("word")
+    bit = F.expr("shiftleft(1L, cast(number & 63 AS int))")
+    dealt = numbered.select(*keys, block, word, bit.alias("bits")).repartition(*keys, "block")
+    return _packed(dealt.groupBy(*keys, "block", "word").agg(F.bit_or("bits").alias("bits")), keys)
 
 
-def merge_parts(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Parts as one, in the groups of ``keys``, which may be fewer columns than the parts have."""
+def _packed(words: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return words.groupBy(*keys, "block").agg(F.collect_list(F.struct("word", "bits")).alias("bits"))
+
+
+def _merged_words(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     together = parts[0].select(*keys, "block", "bits")
     for more in parts[1:]:
         together = together.unionByName(more.select(*keys, "block", "bits"))
-    return together.groupBy(*keys, "block").agg(F.bitmap_or_agg("bits").alias("bits"))
+    words = together.select(*keys, "block", F.inline("bits"))
+    return words.groupBy(*keys, "block", "word").agg(F.bit_or("bits").alias("bits"))
+
+
+def merge_parts(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Parts as one, in the groups of ``keys``, which may be fewer columns than the parts have."""
+    return _packed(_merged_words(parts, keys), keys)
 
 
 def count_exactly(parts: Sequence[DataFrame], keys: Sequence[str], name: str = "carteles") -> DataFrame:
     """keys, ``name``: as ``count_distinct`` over all the rows that the parts were made of."""
-    return merge_parts(parts, keys).groupBy(*keys).agg(F.sum(F.bitmap_count("bits")).alias(name))
+    return _merged_words(parts, keys).groupBy(*keys).agg(F.sum(F.bit_count("bits").cast("long")).alias(name))
 
 
 def sketch_parts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -248,3 +248,19 @@ def test_distinct_values_of_merged_parts(spark):
     want = {r.buyer: r.n for r in union.groupBy("buyer").agg(F.count_distinct("tender").alias("n")).collect()}
     for r in dt_.estimate(sketches, ["buyer"]).collect():
         assert abs(r.carteles_estimados - want[r.buyer]) <= 1 + 4 * dt_.SKETCH_ERROR * want[r.buyer]
+
+
+def test_sparse_groups_keep_a_word_for_each_tender(spark):
+    """Numbers at the ends of words and blocks, the sign bit among them; a group with one tender is not a block of 4 KB."""
+    from tenderloom.plans import distinct_tenders as dt_
+
+    rows = [("a", n) for n in (0, 62, 63, 64, 32_767, 32_768)] + [("b", 63), ("b", None)]
+    numbers = spark.range(40_000).selectExpr("id AS t", "id AS number")
+    part = dt_.distinct_parts(spark.createDataFrame(rows, "k string, t long"), ["k"], "t", numbers)
+    for df in (part, dt_.merge_parts([part, part], ["k"])):
+        assert {(r.k, r.block): sorted(map(tuple, r.bits)) for r in df.collect()} == {
+            ("a", 0): [(0, 1 + (1 << 62) - (1 << 63)), (1, 1), (511, -(1 << 63))],
+            ("a", 1): [(0, 1)],
+            ("b", 0): [(0, -(1 << 63))],
+        }
+    assert {r.k: r.carteles for r in dt_.count_exactly([part, part], ["k"]).collect()} == {"a": 6, "b": 1}
