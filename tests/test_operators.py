@@ -264,3 +264,43 @@ def test_sparse_groups_keep_a_word_for_each_tender(spark):
             ("b", 0): [(0, -(1 << 63))],
         }
     assert {r.k: r.carteles for r in dt_.count_exactly([part, part], ["k"]).collect()} == {"a": 6, "b": 1}
+
+
+HISTORIES = ("k string, n string, v string, etl_period string, loaded_at timestamp_ntz", "k string, w string, etl_period string, loaded_at timestamp_ntz")
+
+
+def histories(spark):
+    rnd = random.Random(7)
+    keys = [None, "hot", *(f"k{i}" for i in range(20))]
+
+    def rows(n, *columns):
+        pick = [rnd.choice([keys[:2], keys]) for _ in range(n)]
+        return [(rnd.choice(p), *[rnd.choice(c) for c in columns], rnd.choice(["202601", "202602", None]), TEN) for p in pick]
+
+    left = rows(3000, [None, *map(str, range(30))], "xy")
+    return spark.createDataFrame(left, HISTORIES[0]), spark.createDataFrame(rows(300, "pq"), HISTORIES[1])
+
+
+@pytest.mark.parametrize("hot_rows", [1, 50, 1_000_000])
+def test_latest_join_equals_the_join_of_latest_rows(spark, hot_rows, monkeypatch):
+    from tenderloom.operators import latest
+
+    monkeypatch.setattr(latest, "fits_broadcast", lambda df: False)
+    left, right = histories(spark)
+    version = ("etl_period", "loaded_at")
+    want = latest_by(left, ["k", "n"]).drop(*version).join(latest_by(right, ["k"]).drop(*version), ["k"], "left")
+    found = latest.latest_join(left, ["k", "n"], right, ["k"], ["k"], hot_rows)
+    assert found.columns == want.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+
+
+def test_staged_rows_are_joined_once(spark, tmp_path, monkeypatch):
+    """Rows of each side meet by the join key before their versions are compared; no second shuffle follows."""
+    from tenderloom.operators import latest
+
+    monkeypatch.setattr(latest, "fits_broadcast", lambda df: False)
+    left, right = histories(spark)
+    plan = latest.latest_join(left, ["k", "n"], right, ["k"], ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 2
+    few = plan[: plan.index("REPARTITION_BY_COL")]
+    assert "Window" in few and "ENSURE_REQUIREMENTS" not in few.replace("BroadcastExchange", "")
