@@ -304,3 +304,38 @@ def test_staged_rows_are_joined_once(spark, tmp_path, monkeypatch):
     assert plan.count("REPARTITION_BY_COL") == 2
     few = plan[: plan.index("REPARTITION_BY_COL")]
     assert "Window" in few and "ENSURE_REQUIREMENTS" not in few.replace("BroadcastExchange", "")
+
+
+@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
+def test_sides_in_buckets_are_joined_where_they_lie(spark, hot_rows, tmp_path, monkeypatch):
+    from tenderloom.operators import latest
+
+    monkeypatch.setattr(latest, "fits_broadcast", lambda df: False)
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    sides = []
+    for side, df in zip("lr", histories(spark)):
+        name = f"history_{side}_{hot_rows}"
+        df.withColumn("m", F.coalesce("etl_period", F.lit("none"))).write.bucketBy(4, "k").option(
+            "path", str(tmp_path / name)
+        ).saveAsTable(name)
+        sides.append(spark.table(name))
+    try:
+        left, right = sides
+        version, on = ("etl_period", "loaded_at"), ["k", "m"]
+        want = latest_by(left, ["k", "n", "m"]).drop(*version).join(latest_by(right, on).drop(*version), on, "left")
+        found = latest.latest_join(left, ["k", "n", "m"], right, on, on, hot_rows, clustered=("left", "right"))
+        assert sorted(map(str, found.collect())) == sorted(map(str, want.select(*found.columns).collect()))
+        assert "REPARTITION_BY_COL" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+        for side in "lr":
+            spark.sql(f"DROP TABLE IF EXISTS history_{side}_{hot_rows}")
+
+
+def test_few_duplicate_keys_shuffle_no_rows(spark, plan_of):
+    from tenderloom.operators import quality
+
+    rows = spark.range(1000).selectExpr("if(id = 7, 6L, id) AS k", "repeat('x', 50) AS v")
+    found = quality.duplicate_rows(rows, ["k"])
+    assert "BroadcastHashJoin" in plan_of(found) and "Exchange hashpartitioning" not in plan_of(found)
+    assert sorted((r.k, r.n_rows) for r in found.collect()) == [(6, 2), (6, 2)]
