@@ -339,3 +339,11 @@ def test_few_duplicate_keys_shuffle_no_rows(spark, plan_of):
     found = quality.duplicate_rows(rows, ["k"])
     assert "BroadcastHashJoin" in plan_of(found) and "Exchange hashpartitioning" not in plan_of(found)
     assert sorted((r.k, r.n_rows) for r in found.collect()) == [(6, 2), (6, 2)]
+
+
+def test_hot_keys_are_looked_for_in_one_scan(spark, plan_of, tmp_path):
+    spark.range(1000).selectExpr("id % 3 AS k").write.parquet(str(tmp_path / "rows"))
+    found = joins.hot_keys(spark.read.parquet(str(tmp_path / "rows")), ["k"], 1_000_000)
+    plan = plan_of(found, run=True)
+    assert found.collect() == [] and "Subquery" not in plan
+    assert sorted(joins.hot_keys(spark.read.parquet(str(tmp_path / "rows")), ["k"], 100).collect()) == [(0, 4), (1, 4), (2, 4)]
