@@ -27,7 +27,8 @@ from tenderloom.sources.csv_files import PERIOD_IN_PATH, period_of, technical_co
 # Task code travels with the job, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_BYTES = 4 << 20
+# A worker keeps about 50 times a block once it has read many, whatever the size of the member.
+BLOCK_BYTES = 1 << 20
 MAX_BLOCK_BYTES = 1 << 30
 ENTRIES = pa.schema([("path", pa.string()), ("name", pa.string()), ("member", pa.string()), ("size", pa.int64())])
 # Schemes that the reader opens in place; others are refused when the load is planned.

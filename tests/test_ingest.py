@@ -2,8 +2,11 @@
 
 import datetime as dt
 import os
+import subprocess
+import sys
 import uuid
 import zipfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -283,6 +286,26 @@ def test_rows_larger_than_a_block_are_read_once(spark, tmp_path, monkeypatch):
     assert [v for b in batches for v in b.column(0).to_pylist()] == [f"S{i}" for i in range(200)]
 
 
+def test_memory_of_a_reader_follows_its_blocks(tmp_path):
+    """What a worker holds after many blocks of a large member, beyond what a small one takes it."""
+    for name, n in (("small", 1_000), ("large", 1_500_000)):
+        lines = "".join(f"S{i},x{i},O{i * 7919 % 100_003},P{i},f{i},t{i}\n" for i in range(n))
+        write_zip(str(tmp_path / f"{name}.zip"), {"Ofertas.csv": HEADER + lines})
+    code = f"""
+import resource
+from tenderloom.sources.archives import _member_batches
+def peak(name):
+    rows = sum(b.num_rows for b in _member_batches(f"{tmp_path}/{{name}}.zip", "Ofertas.csv", {list(BIDS)!r}))
+    return rows, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+(_, small), (rows, large) = peak("small"), peak("large")
+print(rows, large - small)
+"""
+    root = Path(__file__).resolve().parent.parent
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout
+    rows, grown = out.split()
+    assert int(rows) == 1_500_000 and float(grown) < 90, out
+
+
 def test_unknown_stores_are_refused_at_once(spark):
     with pytest.raises(ValueError, match="abfss"):
         scan_archives(spark, "abfss://c@a/zips", "Ofertas.csv", BIDS, "b")
