@@ -332,6 +332,48 @@ def test_sides_in_buckets_are_joined_where_they_lie(spark, hot_rows, tmp_path, m
             spark.sql(f"DROP TABLE IF EXISTS history_{side}_{hot_rows}")
 
 
+def test_rows_are_dealt_out_to_as_many_tasks_as_asked_for(spark, plan_of, monkeypatch):
+    from tenderloom.operators import latest
+
+    monkeypatch.setattr(latest, "fits_broadcast", lambda df: False)
+    left, right = histories(spark)
+    want = latest.latest_join(left, ["k", "n"], right, ["k"], ["k"])
+    found = latest.latest_join(left, ["k", "n"], right, ["k"], ["k"], partitions=13)
+    assert plan_of(found).count("13), REPARTITION_BY_NUM") == 2
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+
+
+def test_stored_lines_have_more_buckets_the_larger_they_are(spark, tmp_path, plan_of, monkeypatch):
+    """A task's rows stay few at any setting of the session; the facts read the buckets where they lie."""
+    from conformance import fixtures as fx
+    from conformance import queries as registered
+
+    rows = {
+        "lineitem": "id AS l_orderkey, id % 5 AS l_partkey, id % 3 AS l_suppkey, 1 AS l_linenumber, 2.0D AS l_quantity, "
+        "3.5D AS l_extendedprice, 0.1D AS l_discount, 0.02D AS l_tax, 'R' AS l_returnflag, 'F' AS l_linestatus, "
+        "timestamp_ntz'1996-02-03' AS l_shipdate",
+        "orders": "id AS o_orderkey, id % 4 AS o_custkey, 'O' AS o_orderstatus, 9.5D AS o_totalprice, "
+        "timestamp_ntz'1996-01-02' AS o_orderdate, '1-URGENT' AS o_orderpriority",
+        "part": "id AS p_partkey, 'part' AS p_name",
+    }
+    for name, columns in rows.items():
+        spark.range(40).selectExpr(*columns.split(", ")).write.parquet(str(tmp_path / f"{name}.parquet"))
+    want = {
+        build: sorted(map(str, build(spark, str(tmp_path)).collect()))
+        for build in (registered.build_tender_lines, registered.build_bid_lines, registered.build_award_lines)
+    }
+    monkeypatch.setattr("tenderloom.operators.latest.fits_broadcast", lambda df: False)
+    monkeypatch.setattr(fx, "LINE_BYTES", 400)
+    buckets = fx.line_partitions(spark, str(tmp_path))
+    assert buckets > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for build, rows_ in want.items():
+        found = build(spark, str(tmp_path))
+        plan = plan_of(found)
+        assert f"SelectedBucketsCount: {buckets} out of {buckets}" in plan or build is registered.build_bid_lines
+        assert plan.count("REPARTITION_BY_NUM") == {registered.build_tender_lines: 1, registered.build_bid_lines: 2}.get(build, 0)
+        assert len(rows_) == 40 and sorted(map(str, found.collect())) == rows_
+
+
 def test_few_duplicate_keys_shuffle_no_rows(spark, plan_of):
     from tenderloom.operators import quality
 
