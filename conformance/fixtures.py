@@ -117,6 +117,17 @@ def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def lines_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``joined_lines``, joined once and written by month of shipment, for queries that write views of them by period.
+
+    Versions of a line are a month apart, so a view of a month is of two or three periods.
+    """
+    folder, lines = work_folder(spark, "lines"), joined_lines(spark, sf_dir, line_partitions(spark, sf_dir))
+    rows = lines.withColumn("_month", F.date_format("l_shipdate", "yyyyMM")).hint("rebalance", "_month")
+    rows.write.option("compression", "zstd").partitionBy("_month").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder).drop("_month")
+
+
 def line_history(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """Lines with code, order and version; returned lines are published again a month later, dearer."""
     rows = _with_versions(joined_lines(spark, sf_dir) if lines is None else lines, F.col("l_returnflag") == "R")
@@ -341,9 +352,11 @@ STAGING_VIEWS = {
 LINE_VIEWS = ("stg_lineas_carteles", "stg_lineas_ofertadas", "stg_procedimientos_adjudicacion", "stg_lineas_adjudicadas")
 
 
-def staging(spark: SparkSession, sf_dir: str, names: Sequence[str] = tuple(STAGING_VIEWS)) -> dict[str, DataFrame]:
-    """Staging tables that are read several times: their lines are joined once."""
-    lines = stored_lines(spark, sf_dir) if set(names) & set(LINE_VIEWS) else None
+def staging(
+    spark: SparkSession, sf_dir: str, names: Sequence[str] = tuple(STAGING_VIEWS), by_month: bool = False
+) -> dict[str, DataFrame]:
+    """Staging tables that are read several times: their lines are joined once, and lie by tender or ``by_month``."""
+    lines = (lines_by_month if by_month else stored_lines)(spark, sf_dir) if set(names) & set(LINE_VIEWS) else None
     return {n: STAGING_VIEWS[n](spark, sf_dir, *([lines] if n in LINE_VIEWS else [])) for n in names}
 
 

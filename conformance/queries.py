@@ -370,11 +370,11 @@ def build_award_lines(spark, sf_dir, lines=None):
 def _incremental(spark, sf_dir, table: Table, *sources: str) -> DataFrame:
     """A model table after three incremental refreshes: the newest periods come first, then the oldest, then the rest."""
     staging, target = work_folder(spark, "staging"), work_folder(spark, "model")
-    views = fx.staging(spark, sf_dir, sources)
+    views = fx.staging(spark, sf_dir, sources, by_month=True)
     period = F.coalesce("etl_period", F.lit(""))
     for part in (period > "199706", period <= "199412", (period > "199412") & (period <= "199706")):
         for name in sources:
-            write_staging(views[name].where(part), f"{staging}/{name}")
+            write_staging(views[name].where(part), f"{staging}/{name}", laid_out=name in fx.LINE_VIEWS)
         incremental_refresh(spark, staging, target, [table])
     return read_model(spark, target, table)
 

@@ -91,17 +91,18 @@ def read_staging(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read_staging_table(spark, f"{root}/{name}", name) for name in STAGING}
 
 
-def write_staging(df: DataFrame, path: str, load_id: str | None = None) -> str:
+def write_staging(df: DataFrame, path: str, load_id: str | None = None, laid_out: bool = False) -> str:
     """Add rows to a staging folder as a load of its own; returns its id.  The same id replaces its load.
 
     Rows are dealt out by period, and the runtime splits a period that holds a large part of them over many
     tasks by the size of what was shuffled, without reading the input a second time.  Readers see the load when all of
-    it is written; a load that replaces another goes to a folder of its own.
+    it is written; a load that replaces another goes to a folder of its own.  ``laid_out`` says that the rows lie by period
+    already, few periods to a task: they are then not shuffled, and a task writes a file for each of its periods.
     """
     load_id = load_id or str(uuid.uuid4())
     loads = open_loads(df.sparkSession, path)
     folder = f"load={load_id}" if load_id not in loads.state() else f"load={load_id}.{uuid.uuid4().hex[:8]}"
-    write_load(df.hint("rebalance", "etl_period"), path, folder)
+    write_load(df if laid_out else df.hint("rebalance", "etl_period"), path, folder)
     loads.change(lambda state: {load_id: folder})
     return load_id
 
