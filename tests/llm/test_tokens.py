@@ -291,6 +291,24 @@ def test_added_tokens_outlive_the_cache(untouched, monkeypatch):
         assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == untouched(BYTE, text)
 
 
+def test_words_are_learnt_without_their_punctuation(untouched, monkeypatch):
+    for name, pattern in ((WORD, WORDS_ONLY), (BYTE, WITH_SPACES)):
+        own = Encoder(public_path(name), pattern)
+        own.encode(["x Größe año"])
+        before = set(own.young)
+        text = "x Größe, año.) Größe... año"
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == untouched(name, text)
+        assert set(own.young) - before == {",", ".)", "..."}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("aBÉßÿ×1 ,.'_<=-\n\u0301\u0338\u0130Σς\xa0\x1c"), max_size=14))
+def test_borders_after_plain_letters_give_the_ids_of_the_text(untouched, text):
+    for name, pattern in ((WORD, WORDS_ONLY), (BYTE, WITH_SPACES)):
+        got = encoder(public_path(name), pattern).encode([text])[0]
+        assert np.frombuffer(got, "<u4").tolist() == untouched(name, text)
+
+
 def test_operators_take_added_tokens_as_the_library_does(spark, untouched):
     df = spark.createDataFrame(list(enumerate(SPELT_OUT)), "doc_id long, text string")
     pieces = packing.pack(packing.token_pieces(df, public_path(WORD))).collect()
