@@ -389,3 +389,18 @@ def test_hot_keys_are_looked_for_in_one_scan(spark, plan_of, tmp_path):
     plan = plan_of(found, run=True)
     assert found.collect() == [] and "Subquery" not in plan
     assert sorted(joins.hot_keys(spark.read.parquet(str(tmp_path / "rows")), ["k"], 100).collect()) == [(0, 4), (1, 4), (2, 4)]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_large_sides_are_joined_in_more_tasks(spark, plan_of, tmp_path, monkeypatch, no_broadcast, how):
+    for name, first in (("l", 0), ("r", 30)):
+        rows = [(k % 70 if k % 9 else None, k) for k in range(first, first + 100)]
+        spark.createDataFrame(rows, f"k int, {name} int").write.parquet(str(tmp_path / name))
+    left, right = spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "r"))
+    few = joins.spread_join(left, right, ["k"], how, hot_rows=2)
+    assert ", 37)" not in plan_of(few)
+    files = sum(f.stat().st_size for n in "lr" for f in (tmp_path / n).glob("*.parquet"))
+    monkeypatch.setattr("tenderloom.operators.joins.TASK_BYTES", files / 36.5)
+    many = joins.spread_join(left, right, ["k"], how, hot_rows=2)
+    assert plan_of(many).count(", 37)") == 2
+    assert sorted(map(str, many.collect())) == sorted(map(str, left.join(right, "k", how).collect()))
