@@ -115,9 +115,9 @@ def top_k(vectors: DataFrame, query_every: int = 50, k: int = K, scale: int = SC
 
     shards = _matrices(rows, F.pmod(F.xxhash64("id"), F.lit(n_shards)).cast("int"), "shard")
     blocks = _matrices(queries, F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int"), "block")
-    pairs = shards.withColumn("block", numbers(n_blocks)).join(
-        blocks.withColumn("shard", numbers(n_shards)), ["dim", "block", "shard"]
-    )
+    # Spark takes the copies of a matrix for one when it estimates sizes: never by broadcast, whatever it believes.
+    copies = blocks.withColumn("shard", numbers(n_shards)).hint("merge")
+    pairs = shards.withColumn("block", numbers(n_blocks)).join(copies, ["dim", "block", "shard"])
     best = pairs.mapInPandas(tiles, "query_id long, shard int, vec_id long, score long")
     while n_shards > 1:
         best = best.withColumn("shard", F.floor(F.col("shard") / FAN_IN).cast("int"))

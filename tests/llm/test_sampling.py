@@ -96,6 +96,13 @@ def test_search_of_odd_rows(spark, monkeypatch):
     assert topk.top_k(df.limit(0)).collect() == []
 
 
+def test_copies_of_matrices_are_never_broadcast(spark, plan_of, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 3)
+    df = spark.createDataFrame([(k, [0.5, float(k % 3)]) for k in range(60)], "vec_id long, embedding array<double>")
+    plan = plan_of(topk.top_k(df), run=True)
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
 def test_scores_beyond_a_long_are_an_error():
     import pytest
 
