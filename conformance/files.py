@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def write_monthly_csv(df: DataFrame, folder: str) -> None:
-    """One sub-folder of CSV files per period; the period is in the path, not in the files."""
-    spread = df.repartitionByRange("etl_period", "nro_sicop")
+def write_monthly_csv(df: DataFrame, folder: str, laid_out: bool = False) -> None:
+    """One sub-folder of CSV files per period; the period is in the path, not in the files.
+
+    ``laid_out`` says that the rows lie by period already, few periods to a task: they are then not shuffled.
+    """
+    spread = df if laid_out else df.repartitionByRange("etl_period", "nro_sicop")
     writer = spread.write.partitionBy("etl_period").option("header", True)
     writer.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder)
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderloom.schemas import STAGING
-from tenderloom.session import work_folder
+from tenderloom.session import FREE_SHUFFLES, work_folder
 
 BATCH = "00000000-0000-4000-8000-000000000001"
 
@@ -102,28 +102,50 @@ def line_partitions(spark: SparkSession, sf_dir: str) -> int | None:
     return found if found > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
-def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Views of the joined lines, and the columns that they take beside those that every one of them takes.
+LINE_VIEWS = {
+    "stg_lineas_carteles": ("l_linestatus", "p_name"),
+    "stg_lineas_ofertadas": (),
+    "stg_procedimientos_adjudicacion": ("o_custkey", "p_name"),
+    "stg_lineas_adjudicadas": ("l_linestatus",),
+}
+_LINE_COLUMNS = (
+    "nro_sicop", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_shipdate",
+)
+
+
+def _view_columns(names: Sequence[str]) -> list[str]:
+    """The columns of ``joined_lines`` that these views take; views of other tables take none."""
+    return list(dict.fromkeys([*_LINE_COLUMNS, *[c for n in names for c in LINE_VIEWS.get(n, ())]]))
+
+
+def stored_lines(spark: SparkSession, sf_dir: str, names: Sequence[str] = tuple(LINE_VIEWS)) -> DataFrame:
     """``joined_lines``, joined once and written, for queries that take several views of them or read one twice.
 
-    They lie in buckets by tender, so that what is grouped or joined by tender later is not shuffled again.
+    They lie in buckets by tender, so that what is grouped or joined by tender later is not shuffled again.  All rows are
+    written, with the columns that the views ``names`` take.
     """
+    spark.conf.set(FREE_SHUFFLES, "true")
     # Tables in buckets by the tender are joined where they lie by the tender and more columns, too.
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     partitions = line_partitions(spark, sf_dir)
-    folder, lines = work_folder(spark, "lines"), joined_lines(spark, sf_dir, partitions)
+    folder, lines = work_folder(spark, "lines"), joined_lines(spark, sf_dir, partitions).select(*_view_columns(names))
     name, buckets = f"lines_{uuid.uuid4().hex}", partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = lines.write.format("parquet").bucketBy(buckets, "nro_sicop").option("path", folder)
     writer.option("compression", "zstd").saveAsTable(name)
     return spark.table(name)
 
 
-def lines_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lines_by_month(spark: SparkSession, sf_dir: str, names: Sequence[str] = tuple(LINE_VIEWS)) -> DataFrame:
     """``joined_lines``, joined once and written by month of shipment, for queries that write views of them by period.
 
-    Versions of a line are a month apart, so a view of a month is of two or three periods.
+    Versions of a line are a month apart, so a view of a month is of two or three periods.  All rows are written, with the
+    columns that the views ``names`` take.
     """
+    spark.conf.set(FREE_SHUFFLES, "true")
     folder, lines = work_folder(spark, "lines"), joined_lines(spark, sf_dir, line_partitions(spark, sf_dir))
-    rows = lines.withColumn("_month", F.date_format("l_shipdate", "yyyyMM")).hint("rebalance", "_month")
+    rows = lines.select(*_view_columns(names)).withColumn("_month", F.date_format("l_shipdate", "yyyyMM")).hint("rebalance", "_month")
     rows.write.option("compression", "zstd").partitionBy("_month").parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder).drop("_month")
 
@@ -348,15 +370,12 @@ STAGING_VIEWS = {
     "stg_procedimientos_adjudicacion": stg_procedimientos_adjudicacion,
     "stg_lineas_adjudicadas": stg_lineas_adjudicadas,
 }
-# Views of the joined lines.
-LINE_VIEWS = ("stg_lineas_carteles", "stg_lineas_ofertadas", "stg_procedimientos_adjudicacion", "stg_lineas_adjudicadas")
-
 
 def staging(
     spark: SparkSession, sf_dir: str, names: Sequence[str] = tuple(STAGING_VIEWS), by_month: bool = False
 ) -> dict[str, DataFrame]:
     """Staging tables that are read several times: their lines are joined once, and lie by tender or ``by_month``."""
-    lines = (lines_by_month if by_month else stored_lines)(spark, sf_dir) if set(names) & set(LINE_VIEWS) else None
+    lines = (lines_by_month if by_month else stored_lines)(spark, sf_dir, names) if set(names) & set(LINE_VIEWS) else None
     return {n: STAGING_VIEWS[n](spark, sf_dir, *([lines] if n in LINE_VIEWS else [])) for n in names}
 
 

@@ -229,9 +229,9 @@ def parse_dates(spark, sf_dir):
 # --- codes and catalog ----------------------------------------------------------------------------
 
 
-def _lines(spark, sf_dir, lines):
-    """The lines that a caller shares between facts, or lines for one fact: their staging views are read twice."""
-    return fx.stored_lines(spark, sf_dir) if lines is None else lines
+def _lines(spark, sf_dir, lines, *names):
+    """The lines that a caller shares between facts, or lines for the views of one fact: these are read twice."""
+    return fx.stored_lines(spark, sf_dir, names or tuple(fx.LINE_VIEWS)) if lines is None else lines
 
 
 def _sources(spark, sf_dir, lines=None):
@@ -344,7 +344,7 @@ def build_buyer_dim(spark, sf_dir):
 
 
 def build_tender_lines(spark, sf_dir, lines=None):
-    lines = _lines(spark, sf_dir, lines)
+    lines = _lines(spark, sf_dir, lines, "stg_lineas_carteles")
     return facts.tender_line_fact(
         fx.stg_lineas_carteles(spark, sf_dir, lines), fx.stg_carteles(spark, sf_dir), clustered=True,
         partitions=fx.line_partitions(spark, sf_dir),
@@ -352,7 +352,7 @@ def build_tender_lines(spark, sf_dir, lines=None):
 
 
 def build_bid_lines(spark, sf_dir, lines=None):
-    lines = _lines(spark, sf_dir, lines)
+    lines = _lines(spark, sf_dir, lines, "stg_lineas_ofertadas")
     return facts.bid_line_fact(
         fx.stg_lineas_ofertadas(spark, sf_dir, lines), fx.stg_ofertas(spark, sf_dir),
         partitions=fx.line_partitions(spark, sf_dir),
@@ -487,12 +487,14 @@ def fk_orphans(spark, sf_dir):
                 continue
             rows = tables[table.name].select("nro_sicop", "nro_linea", *fk.columns)
             orphans = quality.orphan_rows(rows, fk.columns, tables[fk.table], fk.ref_columns)
-            parts.append(
-                orphans.select(
-                    F.lit(table.name).alias("table_name"), F.lit(fk.name).alias("reference"), "nro_sicop", "nro_linea",
-                    F.col(fk.columns[0]).cast("string").alias("missing"),
-                )
+            found = orphans.select(
+                F.lit(table.name).alias("table_name"), F.lit(fk.name).alias("reference"), "nro_sicop", "nro_linea",
+                F.col(fk.columns[0]).cast("string").alias("missing"),
             )
+            # Written one by one, so that the shuffle files of a reference are gone before the next is matched.
+            folder = work_folder(spark, "orphans")
+            write_table(found, folder)
+            parts.append(spark.read.schema(found.schema).parquet(folder))
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
@@ -512,7 +514,8 @@ def contract_report(spark, sf_dir):
     """Every rule of the three facts, counted on the planted ones: one line per rule that is broken."""
     tables = _planted_facts(spark, sf_dir)
     parts = [
-        quality.violation_counts(tables[t.name], t, tables, with_rows=True) for t in (TENDER_LINES, BID_LINES, AWARD_LINES)
+        quality.violation_counts(tables[t.name], t, tables, with_rows=True)
+        for t in (TENDER_LINES, BID_LINES, AWARD_LINES)
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -568,9 +571,9 @@ def last_periods(spark, sf_dir):
 
 
 def _csv(spark, sf_dir, name) -> str:
-    folder = work_folder(spark, "csv")
-    rows = fx.STAGING_VIEWS[name](spark, sf_dir).select(*_payload(name), "etl_period")
-    files.write_monthly_csv(rows, folder)
+    folder, by_month = work_folder(spark, "csv"), name in fx.LINE_VIEWS
+    rows = fx.staging(spark, sf_dir, [name], by_month=True)[name].select(*_payload(name), "etl_period")
+    files.write_monthly_csv(rows, folder, laid_out=by_month)
     return folder
 
 

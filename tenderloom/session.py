@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Without it shuffle files stay until the driver happens to collect its garbage, those of all steps of a job together.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Adaptive execution sizes shuffle partitions from what the map side really wrote, so the initial
 # number is only an upper limit: it is set by the cluster, not by the library.
 SETTINGS = {
@@ -15,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    FREE_SHUFFLES: "true",
 }
 
 

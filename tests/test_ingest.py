@@ -547,3 +547,63 @@ def test_directories_tell_sizes(spark, tmp_path):
     write_zip(f"{tmp_path}/z/y.zip", {"other.csv": "k\n"})
     found = directory(list_archives(spark, f"{tmp_path}/z"), ["a.csv"]).collect()
     assert [(r.name, r.member, r.size) for r in found] == [("d/A.CSV", "a.csv", 1002)]
+
+
+@pytest.fixture
+def line_tables(spark, tmp_path):
+    """lineitem, orders and part of a few rows."""
+    rows = {
+        "lineitem": "id AS l_orderkey; id % 5 AS l_partkey; id % 3 AS l_suppkey; 1 AS l_linenumber; 2.0D AS l_quantity; "
+        "3.5D AS l_extendedprice; 0.1D AS l_discount; 0.02D AS l_tax; if(id % 2 = 0, 'R', 'N') AS l_returnflag; "
+        "'F' AS l_linestatus; timestampadd(DAY, id, timestamp_ntz'1996-01-03') AS l_shipdate",
+        "orders": "id AS o_orderkey; id % 4 AS o_custkey",
+        "part": "id AS p_partkey; concat('part ', id) AS p_name",
+    }
+    for name, columns in rows.items():
+        spark.range(200).selectExpr(*columns.split("; ")).write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+def test_monthly_csv_of_lines_is_written_without_a_shuffle(spark, line_tables, plan_of, monkeypatch):
+    from conformance import queries as registered
+
+    written, write = [], registered.files.write_monthly_csv
+    monkeypatch.setattr(registered.files, "write_monthly_csv", lambda df, *a, **b: written.append((df, b)) or write(df, *a, **b))
+    found = registered.csv_staging_scan(spark, line_tables)
+    want = registered.fx.stg_lineas_carteles(spark, line_tables).select(*found.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) and found.count() == 300
+    assert [b for _, b in written] == [{"laid_out": True}] and "Exchange" not in plan_of(written[0][0])
+
+
+def test_shuffle_files_go_when_their_step_ends(spark, line_tables):
+    import time
+
+    from conformance import fixtures as fx
+
+    def shuffled():
+        files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old, there = spark.conf.get(name), shuffled()
+    spark.conf.set(name, "false")
+    try:
+        for write in (fx.stored_lines, fx.lines_by_month):
+            assert write(spark, line_tables).count() == 200
+        until = time.monotonic() + 20
+        while shuffled() - there and time.monotonic() < until:
+            time.sleep(0.2)
+        assert not shuffled() - there
+    finally:
+        spark.conf.set(name, old)
+
+
+def test_lines_are_stored_with_the_columns_of_their_views(spark, line_tables):
+    from conformance import fixtures as fx
+
+    whole = fx.stored_lines(spark, line_tables)
+    for name in fx.LINE_VIEWS:
+        lines = fx.stored_lines(spark, line_tables, [name])
+        views = [fx.STAGING_VIEWS[name](spark, line_tables, df) for df in (lines, whole)]
+        assert sorted(map(str, views[0].collect())) == sorted(map(str, views[1].collect()))
+    assert "p_name" not in fx.stored_lines(spark, line_tables, ["stg_lineas_ofertadas"]).columns
